@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import audio, chat, mixing, quality
+from . import audio, chat, mixing, neardup, quality
 
 QUERIES = {
     "op1_audio_features": audio.op1_audio_features,
+    "op2_near_dedup": neardup.op2_near_dedup,
     "op3_chat_format": chat.op3_chat_format,
     "op5_quality_ledger": quality.op5_quality_ledger,
     "op8_pareto_mix": mixing.op8_pareto_mix,
 }
 #: op1 has none: SQL has no filters or transforms. It is tested against plain versions.
-ORACLES = {"op3_chat_format": chat.OP3_SQL, "op5_quality_ledger": quality.OP5_SQL, "op8_pareto_mix": mixing.OP8_SQL}
+ORACLES = {"op2_near_dedup": neardup.OP2_SQL, "op3_chat_format": chat.OP3_SQL, "op5_quality_ledger": quality.OP5_SQL, "op8_pareto_mix": mixing.OP8_SQL}
