@@ -49,23 +49,24 @@ class PolyHash:
         return mixed((prefix[end] - prefix[start]) * self.inverse[start])
 
 
-def pieces(texts: Sequence[list[bytes]], overlap: int) -> Iterator[tuple[list[int], list[list[bytes]]]]:
+def pieces(texts: Sequence[list[bytes]], overlap: int) -> Iterator[tuple[list[int], list[int], list[list[bytes]]]]:
     """Texts, given as words, cut to PIECE_WORDS words and some that the next piece repeats, and packed to CHUNK_BYTES:
-    the number of each piece's text, and its words."""
-    of, held, size = [], [], 0
+    the number of each piece's text, where in it the piece begins, and its words."""
+    of, begins, held, size = [], [], [], 0
     for k, words in enumerate(texts):
         for at in range(0, len(words), PIECE_WORDS):
             if at and at + overlap >= len(words):
                 break  # the piece before has all of it
             piece = words[at : at + PIECE_WORDS + overlap]
             of.append(k)
+            begins.append(at)
             held.append(piece)
             size += sum(map(len, piece)) + len(piece)
             if size >= CHUNK_BYTES:
-                yield of, held
-                of, held, size = [], [], 0
+                yield of, begins, held
+                of, begins, held, size = [], [], [], 0
     if of:
-        yield of, held
+        yield of, begins, held
 
 
 class Words:
@@ -88,7 +89,7 @@ class Words:
 def word_windows(hasher: PolyHash, texts: Sequence[list[bytes]], k: int, short: bool) -> list[np.ndarray]:
     """For each text the hashes of its windows of k words, in order; short: a text of fewer words is one window."""
     out: list[list[np.ndarray]] = [[] for _ in texts]
-    for of, held in pieces(texts, k - 1):
+    for of, _, held in pieces(texts, k - 1):
         w = Words(hasher, held)
         at = np.arange(len(w.start))
         size = np.full(len(at), k)
@@ -105,3 +106,33 @@ def word_windows(hasher: PolyHash, texts: Sequence[list[bytes]], k: int, short:
             out[i].append(got[a:b])
     none = np.zeros(0, np.uint64)
     return [np.concatenate(x) if len(x) > 1 else x[0] if x else none for x in out]
+
+
+def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
+    """Minimum of x[i : i + width] for each i, by doubling."""
+    have = 1
+    while have * 2 <= width:
+        x = np.minimum(x[: len(x) - have], x[have:])
+        have *= 2
+    rest = width - have
+    return np.minimum(x[: len(x) - rest], x[rest:]) if rest else x
+
+
+#: Bits of a place in a pack.
+PLACE_BITS = 22
+
+
+def anchored_runs(grams: np.ndarray, width: int, valid: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of windows that share an anchor: first window, number of windows, and the anchor's place.
+
+    A window begins at each place where valid is true, and its anchor is the least of the width hashes from there on, of equal
+    ones the first; equal windows have equal anchors, at equal distances.
+    """
+    low = np.uint64(PLACE_BITS)
+    packed = (grams >> low << low) | np.arange(len(grams), dtype=np.uint64)
+    place = (sliding_min(packed, width) & np.uint64((1 << PLACE_BITS) - 1)).astype(np.int64)
+    valid = valid[: len(place)]
+    first = np.flatnonzero((np.diff(place, prepend=-1) != 0) | np.diff(valid, prepend=~valid[:1]))
+    n = np.diff(first, append=len(place))
+    ok = valid[first]
+    return first[ok], n[ok], place[first[ok]]
