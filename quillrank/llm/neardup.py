@@ -6,15 +6,17 @@ MANTISSA bits that follow. Empty registers copy another one, the first that is n
 compressed registers are compared; candidates are estimated with the expected chance agreements taken off, and those that may
 reach the threshold are confirmed on their full sets.
 
-Documents of equal sets are one class, by its smallest doc_id, and only classes go on. In a band's bucket each class is first
-held against the smallest one alone. Then, where a bucket still holds several components, the classes of different components
-are held against each other, so that every pair that shares a band is either confirmed, refuted or within one component: no
-link is lost, and the copies of a large group never meet in pairs. Sets of up to SMALL shingles, for which a sketch is coarse,
-also share buckets by their first shingles in the order of the hashes (prefix filtering), which finds all their links for certain. For
-the others a pair at the threshold shares no band with a probability of (1 - 0.8 ^ 4) ^ 32, 5e-8.
+Documents of equal sets are one class, by its smallest doc_id, and only classes go on. Classes that share a band's bucket are
+joined to its smallest one, and what this connects makes a neighbourhood. Its members meet in a task, which goes through the
+buckets and confirms or refutes every pair in one, unless the two are known to be in one component by then: no link is lost, and
+pairs are never rows. A neighbourhood of more than BLOCK classes is cut into blocks, and a task gets two of them at most. Sets of
+up to SMALL shingles, for which a sketch is coarse, also share buckets by their first shingles in the order of the hashes
+(prefix filtering), which finds all their links for certain. For the others a pair at the threshold shares no band with a
+probability of (1 - 0.8 ^ 6) ^ 42, 3e-6.
 
 At scale: band rows are summed by bucket before they meet, and joins on a bucket can be split where it is hot. Full sets are
-made again, from the texts, for classes that share a bucket with another, and for no others.
+made again, from the texts, for classes that share a bucket with another, and for no others. A neighbourhood of n different
+classes costs n / BLOCK copies of its sets.
 
 Defined results: a null or empty text, or one without words, has no shingles and is linked with nothing. Rows that share a
 doc_id are one document; a null doc_id is a document of its own that is kept. Repeated rows get the same result each. An empty
@@ -31,16 +33,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read, stored
+from .common import read, stored, task_files
 from .graph import components
 from .windows import LOWER, PolyHash, word_windows
 
 SHINGLE, THRESHOLD = 4, 80
-REGISTER_BITS, MANTISSA, ROWS = 7, 10, 4
+REGISTER_BITS, MANTISSA, ROWS = 8, 10, 6
 REGISTERS = 1 << REGISTER_BITS
 BANDS = REGISTERS // ROWS
 #: Sets of so many shingles also meet by their first ones.
 SMALL = 32
+#: Classes of a neighbourhood that meet in one task: two blocks of so many.
+BLOCK = 2048
+#: Shingles of a block's members, the most frequent ones, that are compared as bits.
+FREQUENT = 1024
 #: An estimate is let through from so many standard deviations below the threshold.
 SIGMAS = 7
 _PROBES = 512
@@ -73,11 +79,11 @@ def sketch(hashes: np.ndarray, probes: np.ndarray) -> np.ndarray:
     return out
 
 
-def estimated(x: np.ndarray, y: np.ndarray, n: int, m: int) -> float:
-    """Jaccard similarity from two sketches of sets of n and m shingles, less the agreements that chance gives: of registers
+def estimated(x: np.ndarray, others: np.ndarray, n: int, m: np.ndarray) -> np.ndarray:
+    """Jaccard similarity of a sketch's set of n shingles with others of m, less the agreements that chance gives: of registers
     of unrelated sets, a share of 0.1699 * 2 ^ -MANTISSA * 4 n m / (n + m) ^ 2 agrees, about."""
     chance = 0.1699 * 2.0**-MANTISSA * 4 * n * m / (n + m) ** 2
-    return ((x == y).mean() - chance) / (1 - chance)
+    return ((others == x).mean(axis=1) - chance) / (1 - chance)
 
 
 def prefix_length(n: int) -> int:
@@ -148,29 +154,114 @@ def full_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return few.mapInArrow(run, "cls long, n long, sketch binary, hashes binary").where("n > 0").dropDuplicates(["cls", "hashes"])
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Those of the pairs (a, b) that reach the threshold: estimated first, then counted on the full sets."""
+def band_keys(sketches: np.ndarray, sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of buckets and the members in them, one entry for each; equal keys are one bucket."""
+    keys, of = [], []
+    for b in range(BANDS):
+        rows = np.ascontiguousarray(sketches[:, b * ROWS : (b + 1) * ROWS]).view("V%d" % (2 * ROWS)).ravel()
+        keys.append(np.unique(rows, return_inverse=True)[1].astype(np.uint64) | np.uint64(b + 1) << np.uint64(40))
+        of.append(np.arange(len(sketches)))
+    for i, s in enumerate(sets):
+        if len(s) <= SMALL:
+            keys.append(s[: prefix_length(len(s))] >> np.uint64(1) | np.uint64(1 << 63))
+            of.append(np.full(len(keys[-1]), i))
+    return np.concatenate(keys), np.concatenate(of)
+
+
+class Neighbourhood:
+    """Members that are held against each other: their sets, sketches and, for bits, the most frequent shingles of all."""
+
+    def __init__(self, sets: list[np.ndarray], sketches: np.ndarray, side: np.ndarray) -> None:
+        self.sets, self.sketches, self.side = sets, sketches, side
+        self.n = np.array([len(s) for s in sets])
+        words, at, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        of = np.repeat(np.arange(len(sets)), self.n)
+        common = np.flatnonzero(counts > 1)
+        common = common[np.argsort(-counts[common], kind="stable")]
+        bit = np.full(len(words), -1)
+        bit[common[:FREQUENT]] = np.arange(min(FREQUENT, len(common)))
+        bits = np.zeros((len(sets), FREQUENT), bool)
+        got = bit[at]
+        bits[of[got >= 0], got[got >= 0]] = True
+        self.bits = np.packbits(bits, axis=1).view(np.uint64)
+        rare = (got < 0) & (counts[at] > 1)
+        self.rare = np.bincount(of[rare], minlength=len(sets))  # shared with someone, but not among the bits
+
+    def linked(self, i: int, others: np.ndarray) -> np.ndarray:
+        """Those of the others that reach the threshold with i: estimated, then bounded, then counted on the full sets."""
+        n, m = self.n[i], self.n[others]
+        others = others[100 * np.minimum(n, m) >= THRESHOLD * np.maximum(n, m)]
+        m, t = self.n[others], THRESHOLD / 100
+        slack = SIGMAS * (t * (1 - t) * (1 / REGISTERS + 1 / np.minimum(n, m))) ** 0.5
+        others = others[(np.minimum(n, m) <= SMALL) | (estimated(self.sketches[i], self.sketches[others], n, m) >= t - slack)]
+        m = self.n[others]
+        least = -(-THRESHOLD * (n + m) // (100 + THRESHOLD))  # the shingles that both must have
+        both = np.bitwise_count(self.bits[others] & self.bits[i]).sum(axis=1).astype(np.int64)
+        ok = both + np.minimum(self.rare[i], self.rare[others]) >= least
+        others, both, least = others[ok], both[ok], least[ok]
+        if self.rare[i]:
+            for k in np.flatnonzero(self.rare[others]):
+                both[k] = n + self.n[others[k]] - len(np.union1d(self.sets[i], self.sets[others[k]]))
+        return others[both >= least]
+
+    def forest(self) -> list[tuple[int, int]]:
+        """Links enough to connect what all links of pairs in one bucket, and on two sides where there are two, connect."""
+        keys, of = band_keys(self.sketches, self.sets)
+        order = np.argsort(keys, kind="stable")
+        keys, of = keys[order], of[order]
+        edges = np.flatnonzero(np.diff(keys, prepend=keys[:1] + np.uint64(1), append=keys[-1:] + np.uint64(1)))
+        comp, seen, out = np.arange(len(self.sets)), np.zeros((len(self.sets),) * 2, bool), []
+        two = self.side.any() and not self.side.all()
+        for a, b in zip(edges[:-1], edges[1:], strict=True):
+            if b - a < 2:
+                continue
+            members = of[a:b]
+            for i in members:
+                others = members[(comp[members] != comp[i]) & ~seen[i, members]]
+                if two:
+                    others = others[self.side[others] != self.side[i]]
+                if not len(others):
+                    continue
+                seen[i, others] = seen[others, i] = True
+                for j in self.linked(i, others):
+                    if comp[i] != comp[j]:
+                        comp[comp == comp[j]] = comp[i]
+                        out.append((int(i), int(j)))
+        return out
+
+
+def confirmed(members: DataFrame) -> DataFrame:
+    """Links a, b of members (task, side, cls, sketch, hashes), found in each task by itself."""
+
+    def links(rows: list[tuple]) -> pa.RecordBatch:
+        sets = [np.frombuffer(r[4], np.uint64) for r in rows]
+        group = Neighbourhood(sets, np.stack([np.frombuffer(r[3], "<u2") for r in rows]), np.array([r[1] for r in rows], bool))
+        pairs = group.forest()
+        return pa.RecordBatch.from_arrays([pa.array([rows[i][2] for i, _ in pairs], pa.int64()), pa.array([rows[j][2] for _, j in pairs], pa.int64())], ["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
         for batch in batches:
-            a, b = batch.column("a").to_numpy(), batch.column("b").to_numpy()
-            keep = np.zeros(len(a), bool)
-            for i, (sx, hx, sy, hy) in enumerate(zip(*(batch.column(c) for c in ("sketch_a", "hashes_a", "sketch_b", "hashes_b")), strict=True)):
-                x, y = np.frombuffer(hx.as_buffer(), np.uint64), np.frombuffer(hy.as_buffer(), np.uint64)
-                least, most = sorted((len(x), len(y)))
-                if 100 * least < THRESHOLD * most:
-                    continue
-                t = THRESHOLD / 100
-                slack = SIGMAS * (t * (1 - t) * (1 / REGISTERS + 1 / least)) ** 0.5
-                if least > SMALL and estimated(np.frombuffer(sx.as_buffer(), "<u2"), np.frombuffer(sy.as_buffer(), "<u2"), len(x), len(y)) < t - slack:
-                    continue
-                both = len(x) + len(y) - len(np.union1d(x, y))
-                keep[i] = 100 * both >= THRESHOLD * (len(x) + len(y) - both)
-            yield pa.RecordBatch.from_arrays([pa.array(a[keep]), pa.array(b[keep])], ["a", "b"])
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if held and row[0] != held[-1][0]:
+                    yield links(held)
+                    held = []
+                held.append(row)
+        if held:
+            yield links(held)
+
+    dealt = members.select("task", "side", "cls", "sketch", "hashes").repartition(task_files(members), "task").sortWithinPartitions("task")
+    return dealt.mapInArrow(run, "a long, b long")
+
 
-    side = lambda s: sets.select(F.col("cls").alias(s), F.col("n").alias(f"n_{s}"), F.col("sketch").alias(f"sketch_{s}"), F.col("hashes").alias(f"hashes_{s}"))
-    near = pairs.join(side("a"), "a").join(side("b"), "b").where(f"100 * least(n_a, n_b) >= {THRESHOLD} * greatest(n_a, n_b)")
-    return near.mapInArrow(run, "a long, b long").distinct()
+def tasks(found: DataFrame) -> DataFrame:
+    """task, side and cls: where each class of a neighbourhood (node, component) is to be. One of n blocks is in n tasks."""
+    sizes = found.groupBy(F.col("component").alias("_c")).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    rows = found.join(sizes, F.col("component") == F.col("_c")).withColumn("own", own)
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    task = F.xxhash64("component", F.least("own", "other"), F.greatest("own", "other"))
+    return rows.select(task.alias("task"), (F.col("own") > F.col("other")).cast("int").alias("side"), F.col("node").alias("cls"))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -180,24 +271,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     classes = stored(full.groupBy("set_key").agg(F.min("doc_id").alias("cls"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"), F.first("firsts").alias("firsts")))
     rows = buckets(classes)
     shared = rows.groupBy("bucket").agg(F.min("cls").alias("least"), F.max("cls").alias("most")).where("least < most")
-    rows = stored(rows.join(shared, "bucket"))  # classes that share a bucket
-    first = stored(rows.where("cls > least").select(F.col("least").alias("a"), F.col("cls").alias("b")).distinct())
-    ids = first.select(F.col("a").alias("cls")).union(first.select("b")).distinct()
-    sets = stored(full_sets(docs, ids))
-    links = stored(confirmed(first, sets))
-    found = components(links)
-    # Buckets that still hold several components: the classes of different ones are held against each other.
-    rows = rows.join(found, rows["cls"] == found["node"], "left").select("bucket", "cls", "n", F.coalesce("component", "cls").alias("comp"))
-    rows = stored(rows)
-    mixed = rows.groupBy("bucket").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 < c1").select("bucket")
-    left = rows.join(mixed, "bucket", "left_semi")
-    x, y = left.alias("x"), left.alias("y")
-    close = f"100 * least(x.n, y.n) >= {THRESHOLD} * greatest(x.n, y.n)"
-    second = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.cls") < F.col("y.cls")) & (F.col("x.comp") != F.col("y.comp")) & F.expr(close))
-    second = second.select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b")).distinct().join(first, ["a", "b"], "left_anti")
-    more = stored(confirmed(second, sets))
-    if not more.isEmpty():
-        found = components(links.union(more))
+    first = rows.join(shared, "bucket").where("cls > least").select(F.col("least").alias("a"), F.col("cls").alias("b")).distinct()
+    near = components(first)
+    sets = stored(full_sets(docs, near.select(F.col("node").alias("cls"))))
+    found = components(stored(confirmed(tasks(near).join(sets, "cls"))))
     named = classes.select(F.col("set_key").alias("_k"), "cls").join(found, F.col("cls") == F.col("node"), "left").select("_k", F.coalesce("component", "cls").alias("_c"))
     out = signed.select("doc_id", "n_shingles", "set_key").join(named, F.col("set_key") == F.col("_k"), "left")
     component = F.coalesce("_c", "doc_id")
