@@ -1,10 +1,15 @@
-"""The corpus pipeline: quality rules, then the other stages, each written as Parquet and read again."""
+"""The corpus pipeline: quality rules, near-duplicates, repeated passages, mixing and encoding, each written as Parquet and read again.
+
+Each stage takes (spark, docs, sf_dir) and gives the columns of documents, but for the last, which gives doc_id, source, text and its
+pieces. A stage works on all that the one before it kept.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from quillrank.llm import quality
+from quillrank.llm import mixing, neardup, pieces, quality, suffixdedup
 from quillrank.llm.common import read, shared_dir, stored
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -15,7 +20,38 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.apply_policy(quality.ledger(docs.select(*COLUMNS))).where("kept").select(*COLUMNS)
 
 
-STAGES = [("quality_rules", quality_rules)]
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates stays, the one of the smallest doc_id."""
+    return neardup.deduplicated(docs.select(*COLUMNS))
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Bytes of strings that occur twice or more go; so does a character of which a byte goes. Texts of which nothing but white
+    space is left go, too; n_chars counts what is left."""
+    out = suffixdedup.without_repeats(docs.select(*COLUMNS), keep=COLUMNS, as_text=True)
+    out = out.withColumn("text", F.when(F.col("n_removed") == 0, F.col("text")).otherwise(F.col("kept")))
+    out = out.where((F.col("n_removed") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    return out.withColumn("n_chars", F.char_length("text").cast("long")).select(*COLUMNS)
+
+
+def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix takes it."""
+    return mixing.expand(mixing.mix(docs.select(*COLUMNS)))
+
+
+def encoded_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, source, n_pieces and ids."""
+    return pieces.encoded(docs, keep=("doc_id", "source"))
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("near_duplicates", near_duplicates),
+    ("repeated_passages", repeated_passages),
+    ("mixed_sources", mixed_sources),
+    ("encoded_pieces", encoded_pieces),
+]
+#: SQL can neither sample pieces nor, on whole tables, find near-duplicates; tests hold the stages against plain versions.
 ORACLE_SQL = None
 
 

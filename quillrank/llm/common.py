@@ -5,7 +5,11 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,3 +58,12 @@ def task_files(df: DataFrame) -> int:
 def tokenizer_path(name: str) -> str:
     """The file of a public tokenizer; QUILLRANK_TOKENIZERS names another folder than the usual one."""
     return os.path.join(os.environ.get("QUILLRANK_TOKENIZERS", "/opt/tokenizers"), name)
+
+
+def slices(batch: pa.RecordBatch, column: int, size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch, so many at a time that the texts of a column have about size bytes; a longer text comes alone."""
+    before = np.cumsum(pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
+    cuts = np.flatnonzero(np.diff(before // size, prepend=0)).tolist()
+    for a, b in zip([0, *cuts], [*cuts, len(batch)], strict=True):
+        if b > a:
+            yield batch.slice(a, b - a)

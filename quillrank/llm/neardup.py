@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read, stored, task_files
+from .common import read, slices, stored, task_files
 from .graph import components
 from .windows import LOWER, PolyHash, word_windows
 
@@ -97,16 +97,6 @@ def shingles(texts: list[str | None], hasher: PolyHash, k: int = SHINGLE) -> lis
     return [np.unique(x) for x in word_windows(hasher, words, k, short=True)]
 
 
-def _batches(batch: pa.RecordBatch, size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
-    """The rows of a batch, some at a time, by the bytes of the last column."""
-    column = batch.column(batch.num_columns - 1)
-    ends = np.cumsum(column.value_lengths().fill_null(0).to_numpy()) if hasattr(column, "value_lengths") else np.cumsum([len(x.as_py() or "") for x in column])
-    cuts = np.flatnonzero(np.diff(ends // size, prepend=0)).tolist()
-    for a, b in zip([0, *cuts], [*cuts, len(column)], strict=True):
-        if b > a:
-            yield batch.slice(a, b - a)
-
-
 SIGNED = "doc_id long, n_shingles long, set_key binary, sketch binary, firsts array<long>"
 
 
@@ -116,7 +106,7 @@ def signatures(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, probes = PolyHash(), _probes()
         for whole in batches:
-            for batch in _batches(whole):
+            for batch in slices(whole, 1):
                 n, keys, sketches, firsts = [], [], [], []
                 for s in shingles(batch.column(1).to_pylist(), hasher):
                     n.append(len(s))
@@ -145,7 +135,7 @@ def full_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, probes = PolyHash(), _probes()
         for whole in batches:
-            for batch in _batches(whole):
+            for batch in slices(whole, 1):
                 sets = shingles(batch.column(1).to_pylist(), hasher)
                 cols = [pa.array([len(s) for s in sets], pa.int64()), pa.array([sketch(s, probes).tobytes() if len(s) else b"" for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())]
                 yield pa.RecordBatch.from_arrays([batch.column(0), *cols], ["cls", "n", "sketch", "hashes"])

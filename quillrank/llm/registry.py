@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import audio, chat, langid, lsmdedup, mixing, neardup, pieces, quality, suffixdedup
+from . import audio, chat, htmltext, langid, lsmdedup, mixing, neardup, pieces, quality, suffixdedup
 
 QUERIES = {
     "op1_audio_features": audio.op1_audio_features,
@@ -13,6 +13,7 @@ QUERIES = {
     "op6_suffix_dedup": suffixdedup.op6_suffix_dedup,
     "op7_lsm_dedup": lsmdedup.op7_lsm_dedup,
     "op8_pareto_mix": mixing.op8_pareto_mix,
+    "op9_html_text": htmltext.op9_html_text,
     "op10_sentencepiece": pieces.op10_sentencepiece,
 }
 #: op1 has none: SQL has no filters or transforms. It is tested against plain versions.

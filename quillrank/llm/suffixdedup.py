@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read, stored, task_files
+from .common import read, slices, stored, task_files
 from .rindex import repeated_starts
 from .windows import PolyHash, anchored_runs
 
@@ -88,7 +88,7 @@ def segments(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = PolyHash(2)
-        for batch in batches:
+        for batch in (b for whole in batches for b in slices(whole, 1)):
             texts = [_bytes(t) for t in batch.column(1).to_pylist()]
             crcs = np.array([zlib.crc32(t) for t in texts], np.int64)
             for of, within, begins, data in _packs(texts):
@@ -125,7 +125,7 @@ def parts(docs: DataFrame, kinds: DataFrame) -> DataFrame:
     """The bytes of the kinds (KIND, doc, crc, at, hot), each with the group in which it is judged."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b for whole in batches for b in slices(whole, 0)):
             rows, size = [], 0
             for text, wanted in zip(batch.column(0), batch.column(1), strict=True):
                 data = _bytes(text.as_py())
@@ -215,8 +215,9 @@ _NEW = [("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("spans", pa.list_(p
 NEW = "n_bytes long, n_removed long, spans array<struct<start:long,end:long>>, kept binary"
 
 
-def without_repeats(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The columns keep of docs (doc_id, text and others), with NEW: what was removed, in bytes, and the bytes that stay."""
+def without_repeats(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), as_text: bool = False) -> DataFrame:
+    """The columns keep of docs (doc_id, text and others), with NEW: what was removed, in bytes, and the bytes that stay; as_text:
+    as a string, without characters of which only some bytes stay."""
     own = [c for c in keep if c not in {n for n, _ in _NEW}]
     found = marks(docs)
     both = docs.select(*[F.col(f"`{c}`") for c in own], F.col("text").alias("_text"), F.col("doc_id").cast("long").alias("_id"))
@@ -224,23 +225,23 @@ def without_repeats(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> Dat
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         k = len(own)
-        for batch in batches:
-            begin, rows, size = 0, [], 0
-            for i, (text, wanted) in enumerate(zip(batch.column(k), batch.column(k + 1), strict=True)):
+        for batch in (b for whole in batches for b in slices(whole, k)):
+            rows = []
+            for text, wanted in zip(batch.column(k), batch.column(k + 1), strict=True):
                 data, wanted = _bytes(text.as_py()), wanted.as_py()
                 spans = removed_spans(len(data), zlib.crc32(data), wanted) if wanted else np.zeros((0, 2), np.int64)
                 at = [0, *spans.ravel().tolist(), len(data)]
                 kept = b"".join(data[a:b] for a, b in zip(at[::2], at[1::2], strict=True))
                 rows.append((len(data), len(data) - len(kept), [{"start": a, "end": b} for a, b in spans.tolist()], kept))
-                size += len(data)
-                if size >= 8 << 20 or i + 1 == len(batch):
-                    cols = [batch.column(j).slice(begin, len(rows)) for j in range(k)]
-                    cols += [pa.array(c, t) for c, (_, t) in zip(zip(*rows, strict=True), _NEW, strict=True)]
-                    yield pa.RecordBatch.from_arrays(cols, [*own, *(n for n, _ in _NEW)])
-                    begin, rows, size = i + 1, [], 0
+            cols = [batch.column(j) for j in range(k)]
+            n_bytes, n_removed, spans_, kept_ = zip(*rows, strict=True)
+            last = pa.array([x.decode("utf-8", "ignore") for x in kept_], pa.string()) if as_text else pa.array(kept_, pa.binary())
+            cols += [pa.array(n_bytes, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(spans_, _NEW[2][1]), last]
+            yield pa.RecordBatch.from_arrays(cols, [*own, *(n for n, _ in _NEW)])
 
     schema = ", ".join(f"`{c}` {both.schema[c].dataType.simpleString()}" for c in own)
-    return both.mapInArrow(run, f"{schema}, {NEW}" if own else NEW)
+    new = NEW.replace("kept binary", "kept string") if as_text else NEW
+    return both.mapInArrow(run, f"{schema}, {new}" if own else new)
 
 
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
