@@ -1,0 +1 @@
+"""Queries by name; importing a module of this package registers its queries."""
