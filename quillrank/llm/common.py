@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
+import gc
 import os
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -49,6 +52,13 @@ def stored(df: DataFrame, folder: str | None = None, **options) -> DataFrame:
     return spark.read.schema(df.schema).parquet(folder)
 
 
+def dropped(spark: SparkSession, *folders: str) -> None:
+    """Deletes folders of stored() that nothing reads any more."""
+    for folder in folders:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def task_files(df: DataFrame) -> int:
     """Partitions for work that is bound by Python: a few for each core, by what the session says."""
     spark = df.sparkSession
@@ -67,3 +77,24 @@ def slices(batch: pa.RecordBatch, column: int, size: int = 4 << 20) -> Iterator[
     for a, b in zip([0, *cuts], [*cuts, len(batch)], strict=True):
         if b > a:
             yield batch.slice(a, b - a)
+
+
+Batches = Iterator[pa.RecordBatch]
+
+
+def tidy(run: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
+    """run, after which a Python worker gives its freed memory back: Spark keeps the worker for later tasks, beside others."""
+
+    @functools.wraps(run)
+    def tidied(batches: Batches) -> Batches:
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL("libc.so.6").malloc_trim(0)
+            except (OSError, AttributeError):  # another C library
+                pass
+
+    return tidied

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read, shared_dir, stored, task_files
+from .common import dropped, read, shared_dir, slices, stored, task_files, tidy
 from .windows import PolyHash, Words, anchored_runs, pieces
 
 WINDOW, GRAM = 20, 5
@@ -38,6 +38,7 @@ FANOUT, BATCHES = 2, 2
 #: place is the first word's number, the number of windows and the anchor's distance, in one number: (at * 256 + n) * 256 + off.
 ENTRIES = "anchor long, content long, doc long, place long"
 KIND = ["anchor", "content"]
+RUN = "anchor long, content long, first struct<doc:long,place:long>, times long, old int"
 _FIRST = -(1 << 63)
 
 
@@ -52,9 +53,10 @@ def _words(text: str | None) -> list[bytes]:
 def entries(docs: DataFrame) -> DataFrame:
     """ENTRIES of docs (doc_id, text)."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = PolyHash(3)
-        for batch in batches:
+        for batch in (b for whole in batches for b in slices(whole, 1)):
             ids = batch.column(0).to_numpy()
             for of, begins, held in pieces([_words(t) for t in batch.column(1).to_pylist()], WINDOW - 1):
                 w = Words(hasher, held)
@@ -78,9 +80,10 @@ WINDOWS = "w1 long, w2 long, doc long, at long"
 def windows(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """WINDOWS of the entries wanted (doc, place): two hashes of the words of each."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one, two = PolyHash(4), PolyHash(5)
-        for batch in batches:
+        for batch in (b for whole in batches for b in slices(whole, 1)):
             ids = batch.column(0).to_numpy()
             texts = [_words(t) for t in batch.column(1).to_pylist()]
             places = [np.sort(p.values.to_numpy()) if p.is_valid else np.zeros(0, np.int64) for p in batch.column(2)]
@@ -113,32 +116,35 @@ class FingerprintIndex:
         self.runs: list[str] = []
         self._made = 0
 
-    def _write(self, df: DataFrame) -> str:
-        path = f"{self.folder}/run-{self._made}"
+    def _path(self) -> str:
         self._made += 1
-        df.repartition(task_files(df), "anchor").sortWithinPartitions(*KIND).write.parquet(path)
-        return path
+        return f"{self.folder}/run-{self._made}"
 
     def past(self) -> DataFrame:
         """All entries so far: anchor, content, doc, place; each once."""
-        return self.spark.read.schema(ENTRIES).parquet(*self.runs) if self.runs else self.spark.createDataFrame([], ENTRIES)
+        runs = self.spark.read.schema(RUN).parquet(*self.runs) if self.runs else self.spark.createDataFrame([], RUN)
+        return runs.where("old = 0").select(*KIND, "first.*")
 
     def compact(self) -> None:
         """One run of all. The old ones are then deleted."""
-        old, self.runs = self.runs, [self._write(self.past())]
-        for path in old:
-            p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
+        old, path = self.runs, self._path()
+        merged = self.past().select(*KIND, F.struct("doc", "place").alias("first"), F.lit(0).cast("long").alias("times"), F.lit(0).alias("old"))
+        merged.repartition(task_files(merged), *KIND).sortWithinPartitions(*KIND).write.parquet(path)
+        self.runs = [path]
+        dropped(self.spark, *old)
 
     def ingest(self, docs: DataFrame, corpus: DataFrame) -> DataFrame:
         """doc, at and n: runs of windows, from word at on, that begin earlier too. docs: a batch with doc_ids above those of all
         batches before; corpus: where the texts of all batches, this one included, are read for verification."""
         if len(self.runs) >= FANOUT:
             self.compact()
-        rows, past = stored(entries(docs)), self.past()
+        scratch = [shared_dir(self.spark) for _ in range(2)]
+        rows, past = stored(entries(docs), scratch[0]), self.past()
         first = F.struct("doc", "place").alias("first")
-        both = rows.select(*KIND, first, F.lit(1).alias("times"), F.lit(0).alias("old")).unionByName(past.select(*KIND, first, F.lit(0).alias("times"), F.lit(1).alias("old")))
-        kinds = stored(both.groupBy(*KIND).agg(F.min("first").alias("first"), F.sum("times").alias("times"), F.max("old").alias("old")).where("times > 0"))
+        both = rows.select(*KIND, first, F.lit(1).cast("long").alias("times"), F.lit(0).alias("old")).unionByName(past.select(*KIND, first, F.lit(0).cast("long").alias("times"), F.lit(1).alias("old")))
+        kinds = both.groupBy(*KIND).agg(F.min("first").alias("first"), F.sum("times").alias("times"), F.max("old").alias("old")).where("times > 0")
+        # the batch's run: its entries, sorted; those that are old are in an earlier run, too, and not read from this one
+        kinds = stored(kinds.sortWithinPartitions(*KIND), path := self._path())
         new = kinds.where("old = 0").select(*KIND, "first.*")
         # repeated as a whole: entries that were there before, and all but the first of those that came twice
         again = kinds.where("times + old > 1").select(*KIND, "first")
@@ -146,12 +152,13 @@ class FingerprintIndex:
         # in part: new entries whose anchor others have too
         known = new.select("anchor", "doc", "place", F.lit(1).alias("new")).unionByName(past.select("anchor", "doc", "place", F.lit(0).alias("new")))
         anchors = known.groupBy(F.col("anchor").alias("_a")).agg(F.count("*").alias("n"), F.max("new").alias("any")).where("n > 1 and any = 1").select("_a")
-        cut = stored(windows(corpus, known.join(anchors, F.col("anchor") == F.col("_a"), "left_semi")))
+        cut = stored(windows(corpus, known.join(anchors, F.col("anchor") == F.col("_a"), "left_semi")), scratch[1])
         firsts = cut.groupBy("w1", "w2").agg(F.min(F.struct("doc", "at")).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
         part = cut.join(firsts, ["w1", "w2"]).where(F.struct("doc", "at") > F.col("first")).select("doc", "at", F.lit(1).cast("long").alias("n"))
         at = F.shiftright("place", 16)
         out = stored(whole.select("doc", at.alias("at"), F.shiftright("place", 8).bitwiseAND(F.lit(255).cast("long")).alias("n")).unionByName(part))
-        self.runs.append(self._write(new))
+        self.runs.append(path)
+        dropped(self.spark, *scratch)
         return out
 
 
@@ -185,11 +192,12 @@ def without_repeats(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), batche
     both = docs.select(*[F.col(f"`{c}`") for c in own], F.col("text").alias("_text"), _id().alias("_id"))
     both = both.join(lists, F.col("_id") == F.col("doc"), "left").drop("_id", "doc")
 
+    @tidy
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         k = len(own)
-        for batch in parts:
-            begin, rows, size = 0, [], 0
-            for i, (text, wanted) in enumerate(zip(batch.column(k), batch.column(k + 1), strict=True)):
+        for batch in (b for whole in parts for b in slices(whole, k)):
+            rows = []
+            for text, wanted in zip(batch.column(k), batch.column(k + 1), strict=True):
                 words, spans = _words(text.as_py()), np.zeros((0, 2), np.int64)
                 if wanted.is_valid and len(words) >= WINDOW:
                     step = np.zeros(len(words) + 1, np.int32)
@@ -200,12 +208,9 @@ def without_repeats(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), batche
                 cuts = [0, *spans.ravel().tolist(), len(words)]
                 kept = [w for a, b in zip(cuts[::2], cuts[1::2], strict=True) for w in words[a:b]] if len(spans) else words
                 rows.append((len(words), len(words) - len(kept), [{"start": a, "end": b} for a, b in spans.tolist()], b" ".join(kept).decode("utf-8", "replace")))
-                size += len(rows[-1][3])
-                if size >= 8 << 20 or i + 1 == len(batch):
-                    cols = [batch.column(j).slice(begin, len(rows)) for j in range(k)]
-                    cols += [pa.array(c, t) for c, (_, t) in zip(zip(*rows, strict=True), _NEW, strict=True)]
-                    yield pa.RecordBatch.from_arrays(cols, [*own, *(n for n, _ in _NEW)])
-                    begin, rows, size = i + 1, [], 0
+            cols = [batch.column(j) for j in range(k)]
+            cols += [pa.array(c, t) for c, (_, t) in zip(zip(*rows, strict=True), _NEW, strict=True)]
+            yield pa.RecordBatch.from_arrays(cols, [*own, *(n for n, _ in _NEW)])
 
     schema = ", ".join(f"`{c}` {both.schema[c].dataType.simpleString()}" for c in own)
     return both.mapInArrow(run, f"{schema}, {NEW}" if own else NEW)
