@@ -6,6 +6,7 @@ import ast
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType
 
 
 def parses(code: str | None) -> bool:
@@ -23,11 +24,11 @@ def defines(code: str | None, name: str | None) -> bool:
     return any(isinstance(n, (ast.FunctionDef, ast.AsyncFunctionDef)) and n.name == name for n in ast.parse(code).body)
 
 
-@F.pandas_udf("boolean")
+@F.pandas_udf(BooleanType())
 def syntax_valid(code: pd.Series) -> pd.Series:
     return code.map(parses)
 
 
-@F.pandas_udf("boolean")
+@F.pandas_udf(BooleanType())
 def function_name_valid(code: pd.Series, name: pd.Series) -> pd.Series:
     return pd.Series([defines(c, n) for c, n in zip(code, name, strict=True)], dtype=bool)

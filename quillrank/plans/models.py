@@ -271,11 +271,11 @@ def _draw_values() -> str:
 
 def _numbered(spark, sf, value):
     p = metrics.paired(problems(spark, sf)).orderBy("problem_id").limit(_POINTS)
-    return p.select((F.row_number().over(Window.orderBy("problem_id")) - 1).alias("idx"), value.alias("value"))
+    return p.select((F.row_number().over(Window.orderBy("problem_id")) - 1).alias("idx"), F.expr(value).alias("value"))
 
 
 _INDEXED = "SELECT row_number() OVER (ORDER BY problem_id) - 1 AS idx, * FROM (SELECT * FROM paired ORDER BY problem_id LIMIT 40)"
-for _name, _value, _sql in (("a34_bootstrap", F.col("dpo_c") / F.col("dpo_n"), "dc::DOUBLE / dn"), ("a35_paired_bootstrap", F.col("dpo_c") / F.col("dpo_n") - F.col("base_c") / F.col("base_n"), "dc::DOUBLE / dn - bc::DOUBLE / bn")):
+for _name, _value, _sql in (("a34_bootstrap", "dpo_c / dpo_n", "dc::DOUBLE / dn"), ("a35_paired_bootstrap", "dpo_c / dpo_n - base_c / base_n", "dc::DOUBLE / dn - bc::DOUBLE / bn")):
 
     @query(_name, f"SELECT round(quantile_cont(m, 0.025), 9) AS lower, round(quantile_cont(m, 0.975), 9) AS upper, round(avg(m), 9) AS mean FROM (SELECT iteration, avg(value) AS m FROM (VALUES {_draw_values()}) d(iteration, idx) JOIN (SELECT idx, {_sql} AS value FROM ({_INDEXED})) USING (idx) GROUP BY iteration)")
     def _(spark, sf, value=_value):
