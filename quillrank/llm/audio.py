@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import read
+from .common import read, tidy
 
 PAD = 64
 RATE = 16_000
@@ -166,6 +166,7 @@ def audio_features(docs: DataFrame, text: str = "text", keep: tuple[str, ...] =
     own = [c for c in keep if c not in {n for n, _ in _ARROW}]
     slim = docs.select(*[f"`{c}`" for c in own], docs[text].alias("_text"))
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         make = Features()
         for batch in batches:

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read
+from .common import read, tidy
 
 START, END = "<|im_start|>", "<|im_end|>"
 #: Roles whose text bears the loss.
@@ -136,6 +136,7 @@ def parse_turn(formatted: str) -> tuple[str, str]:
 def format_turns(turns: DataFrame) -> DataFrame:
     """turns (conv_id, turn, role, parts) as FORMATTED: a row for each turn."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = [{"conv_id": r["conv_id"], "turn": r["turn"]} | format_turn(r["role"], r["parts"]) for r in batch.to_pylist()]
@@ -174,6 +175,7 @@ class _Conversation:
 def read_back(formatted: DataFrame) -> DataFrame:
     """A row for each conversation, as in DIGEST, from what format_turns() wrote alone."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, rows = None, []
         for batch in batches:

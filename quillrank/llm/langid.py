@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read
+from .common import read, tidy
 from .windows import PolyHash, mixed
 
 #: Documents to learn from: for each language, and in all.
@@ -38,7 +38,7 @@ EPOCHS, CHAINS, RATE, SHRINK = 4, 256, 0.3, 1e-6
 TRAIN_WORDS, SWITCHES = 32, 0.15
 MODEL_BYTES = (1 << TABLE_BITS) * 4 * 4
 #: Bytes of text that are labelled at once, about.
-PACK_BYTES = 3 << 20
+PACK_BYTES = 2 << 20
 UND = "und"
 _LETTER = re.compile(r"[^\W\d_]")
 
@@ -264,6 +264,7 @@ def labelled(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",),
     own = [c for c in keep if c not in ("lang_pred", "score", "runs")]
     slim = docs.select(*[F.col(f"`{c}`") for c in own], F.col(f"`{text}`").alias("_text"))
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         labeller, k = Labeller(model), len(own)
 

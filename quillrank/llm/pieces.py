@@ -20,20 +20,19 @@ empty result. Columns that clash with the operator's are replaced by them.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read, tokenizer_path
+from .common import read, tidy, tokenizer_path
 from .windows import PolyHash, mixed
 
 MODEL = "piece_bpe_32k.model"
 ALPHA, SEED = 1.0, 1
 #: Bytes of text that are encoded at once, about.
-PACK_BYTES = 3 << 20
+PACK_BYTES = 2 << 20
 #: The longest piece has no more bytes.
 LONGEST = 64
 _STEP, _WORD = 0x9E3779B97F4A7C15, np.uint64(0xC2B2AE3D27D4EB4F)
@@ -77,11 +76,6 @@ class Vocabulary:
         self.flat = np.frombuffer(b"".join(self.bytes), np.uint8)
 
 
-@lru_cache(maxsize=2)
-def vocabulary(path: str) -> Vocabulary:
-    return Vocabulary(path)
-
-
 def _each(start: np.ndarray, size: np.ndarray) -> np.ndarray:
     """start[0], start[0] + 1, ... for size[0] numbers, then those from start[1], and so on."""
     return np.repeat(start - np.cumsum(size) + size, size) + np.arange(size.sum())
@@ -179,7 +173,7 @@ class Lattices:
 
 class Encoder:
     def __init__(self, path: str, alpha: float = ALPHA, seed: int = SEED) -> None:
-        self.voc, self.alpha, self.hasher = vocabulary(path), alpha, PolyHash(6)
+        self.voc, self.alpha, self.hasher = Vocabulary(path), alpha, PolyHash(6)
         self.seed = np.uint64(seed * int(_WORD) % 2**64)
 
     def encode(self, texts: list[bytes], keys: np.ndarray, exact: bool = False) -> tuple[np.ndarray, np.ndarray]:
@@ -244,6 +238,7 @@ def encoded(docs: DataFrame, key: str = "doc_id", text: str = "text", keep: tupl
     own, path = [c for c in keep if c not in ("n_pieces", "ids")], model or tokenizer_path(MODEL)
     slim = docs.select(*[F.col(f"`{c}`") for c in own], F.coalesce(F.col(key).cast("long"), F.lit(0)).alias("_key"), F.col(f"`{text}`").alias("_text"))
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, k = Encoder(path, alpha, seed), len(own)
         for batch in batches:
@@ -264,6 +259,7 @@ def decoded(rows: DataFrame, keep: tuple[str, ...] = ("doc_id",), model: str | N
     own, path = [c for c in keep if c not in ("decoded", "ids")], model or tokenizer_path(MODEL)
     slim = rows.select(*[F.col(f"`{c}`") for c in own], "ids")
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, k = Encoder(path), len(own)
         for batch in batches:

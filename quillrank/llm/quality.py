@@ -103,7 +103,9 @@ def measured(docs: DataFrame, text: str = "text") -> DataFrame:
     start = F.struct(F.lit(-WINDOW).alias("p"), F.lit(0).alias("n"))
     covered = F.aggregate("_p", start, lambda a, p: F.struct(p.alias("p"), (a["n"] + F.least(F.lit(WINDOW), p - a["p"])).alias("n")))["n"]
     out = out.withColumn("n_repeat_words", F.coalesce(covered, F.lit(0)).cast("long"))
-    return out.select(*[F.col(f"`{c}`") for c in own], *MEASURES)
+    # A filter on a measure must stay above: pushed down, it would take each step's expression in, for every word of a text.
+    out = out.select(*[F.col(f"`{c}`") for c in own], F.explode(F.array(F.struct(*MEASURES))).alias("_m"))
+    return out.select(*[F.col(f"`{c}`") for c in own], "_m.*")
 
 
 def ledger(docs: DataFrame, text: str = "text") -> DataFrame:

@@ -13,7 +13,7 @@ import numpy as np
 #: A-Z to a-z, and no other letters.
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 #: Bytes hashed at once, and words of a piece of a long text.
-CHUNK_BYTES, PIECE_WORDS = 1 << 20, 100_000
+CHUNK_BYTES, PIECE_WORDS = 1 << 19, 50_000
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
