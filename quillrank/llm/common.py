@@ -44,11 +44,19 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/quillrank-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, folder: str | None = None, **options) -> DataFrame:
-    """df, written to the shared folder and read back: it cuts the lineage and survives lost executors."""
+def few(df: DataFrame) -> DataFrame:
+    """df from a quarter as many tasks as the session's shuffles have, or four a core if that is more: a small table that comes
+    out of a shuffle would else be as many small files. The number follows the session's setting, and so the size of the job."""
+    spark = df.sparkSession
+    return df.coalesce(max(int(spark.conf.get("spark.sql.shuffle.partitions")) // 4, 4 * spark.sparkContext.defaultParallelism))
+
+
+def stored(df: DataFrame, folder: str | None = None, shuffled: bool = True) -> DataFrame:
+    """df, written to the shared folder and read back: it cuts the lineage and survives lost executors. shuffled: it comes out of
+    a shuffle, and is written from few() tasks; else each of its input's splits is a task, and run again alone if lost."""
     spark = df.sparkSession
     folder = folder or shared_dir(spark)
-    df.write.options(**options).parquet(folder)
+    (few(df) if shuffled else df).write.parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
 
 
@@ -70,7 +78,7 @@ def tokenizer_path(name: str) -> str:
     return os.path.join(os.environ.get("QUILLRANK_TOKENIZERS", "/opt/tokenizers"), name)
 
 
-def slices(batch: pa.RecordBatch, column: int, size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: int, size: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """The rows of a batch, so many at a time that the texts of a column have about size bytes; a longer text comes alone."""
     before = np.cumsum(pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
     cuts = np.flatnonzero(np.diff(before // size, prepend=0)).tolist()

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import dropped, read, shared_dir, slices, stored, task_files, tidy
+from .common import dropped, few, read, shared_dir, slices, stored, task_files, tidy
 from .windows import PolyHash, Words, anchored_runs, pieces
 
 WINDOW, GRAM = 20, 5
@@ -139,12 +139,12 @@ class FingerprintIndex:
         if len(self.runs) >= FANOUT:
             self.compact()
         scratch = [shared_dir(self.spark) for _ in range(2)]
-        rows, past = stored(entries(docs), scratch[0]), self.past()
+        rows, past = stored(entries(docs), scratch[0], shuffled=False), self.past()
         first = F.struct("doc", "place").alias("first")
         both = rows.select(*KIND, first, F.lit(1).cast("long").alias("times"), F.lit(0).alias("old")).unionByName(past.select(*KIND, first, F.lit(0).cast("long").alias("times"), F.lit(1).alias("old")))
         kinds = both.groupBy(*KIND).agg(F.min("first").alias("first"), F.sum("times").alias("times"), F.max("old").alias("old")).where("times > 0")
         # the batch's run: its entries, sorted; those that are old are in an earlier run, too, and not read from this one
-        kinds = stored(kinds.sortWithinPartitions(*KIND), path := self._path())
+        kinds = stored(few(kinds).sortWithinPartitions(*KIND), path := self._path(), shuffled=False)
         new = kinds.where("old = 0").select(*KIND, "first.*")
         # repeated as a whole: entries that were there before, and all but the first of those that came twice
         again = kinds.where("times + old > 1").select(*KIND, "first")

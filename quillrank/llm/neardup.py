@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read, slices, stored, task_files
+from .common import read, slices, stored, task_files, tidy
 from .graph import components
 from .windows import LOWER, PolyHash, word_windows
 
@@ -103,6 +103,7 @@ SIGNED = "doc_id long, n_shingles long, set_key binary, sketch binary, firsts ar
 def signatures(docs: DataFrame) -> DataFrame:
     """SIGNED for each row of docs (doc_id, text)."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, probes = PolyHash(), _probes()
         for whole in batches:
@@ -132,6 +133,7 @@ def buckets(classes: DataFrame) -> DataFrame:
 def full_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """cls, n, sketch and full set, made anew from the texts, of the documents ids (cls)."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, probes = PolyHash(), _probes()
         for whole in batches:
@@ -229,6 +231,7 @@ def confirmed(members: DataFrame) -> DataFrame:
         pairs = group.forest()
         return pa.RecordBatch.from_arrays([pa.array([rows[i][2] for i, _ in pairs], pa.int64()), pa.array([rows[j][2] for _, j in pairs], pa.int64())], ["a", "b"])
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         for batch in batches:
@@ -256,7 +259,7 @@ def tasks(found: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id (the smallest doc_id that it reaches by links, itself included) and kept."""
-    signed = stored(signatures(docs))
+    signed = stored(signatures(docs), shuffled=False)
     full = signed.where("set_key is not null and doc_id is not null")
     classes = stored(full.groupBy("set_key").agg(F.min("doc_id").alias("cls"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"), F.first("firsts").alias("firsts")))
     rows = buckets(classes)

@@ -28,17 +28,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read, slices, stored, task_files
+from .common import read, slices, stored, task_files, tidy
 from .rindex import repeated_starts
 from .windows import PolyHash, anchored_runs
 
 LENGTH, GRAM = 400, 48
 #: Bytes of a text worked on at once; windows that begin in one piece end in it.
-PIECE = 1 << 20
+PIECE = 1 << 19
 #: Different segments of an anchor from which it is split, and starts of a block.
 HOT, BLOCK = 1000, 16
 #: Bytes of segments in an index, about.
-INDEX_BYTES = 3 << 20
+INDEX_BYTES = 2 << 20
 
 #: A run of windows with one anchor: the anchor's hash, the content's, the text (doc_id, checksum), the first start, the number of starts and
 #: how far after the first start the anchor is.
@@ -86,6 +86,7 @@ def pack_segments(begins: np.ndarray, data: bytes, hasher: PolyHash) -> tuple[np
 def segments(docs: DataFrame) -> DataFrame:
     """SEGMENTS of docs (doc_id, text)."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = PolyHash(2)
         for batch in (b for whole in batches for b in slices(whole, 1)):
@@ -124,6 +125,7 @@ def _blocks(w: dict, data: bytes) -> Iterator[tuple[int, int, bytes]]:
 def parts(docs: DataFrame, kinds: DataFrame) -> DataFrame:
     """The bytes of the kinds (KIND, doc, crc, at, hot), each with the group in which it is judged."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (b for whole in batches for b in slices(whole, 0)):
             rows, size = [], 0
@@ -166,6 +168,7 @@ def judged(rows: DataFrame) -> DataFrame:
                 out.append({"part": part, "hash": key, "ranges": ranges})
         return pa.RecordBatch.from_pylist(out, schema)
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for batch in batches:
@@ -184,7 +187,7 @@ def judged(rows: DataFrame) -> DataFrame:
 
 def marks(docs: DataFrame) -> DataFrame:
     """doc and wanted: for each text with repeats, (crc, at, ranges of starts from at on)."""
-    rows = stored(segments(docs))
+    rows = stored(segments(docs), shuffled=False)
     kinds = stored(rows.groupBy(*KIND).agg(F.count("*").alias("times"), F.min(F.struct("doc", "crc", "at")).alias("one")))
     anchors = kinds.groupBy(F.col("anchor").alias("_a")).agg(F.count("*").alias("different")).where("different > 1")
     todo = kinds.join(anchors, F.col("anchor") == F.col("_a")).select(*KIND, "one.*", (F.col("different") > HOT).alias("hot"))
@@ -223,6 +226,7 @@ def without_repeats(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), as_tex
     both = docs.select(*[F.col(f"`{c}`") for c in own], F.col("text").alias("_text"), F.col("doc_id").cast("long").alias("_id"))
     both = both.join(found, F.col("_id").eqNullSafe(F.col("doc")), "left").drop("_id", "doc")
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         k = len(own)
         for batch in (b for whole in batches for b in slices(whole, k)):
