@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import read, stored, task_files
+from .common import read, stored, task_files, tidy
 
 # HTML's elements and the names that pages give to what isn't their article.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -47,7 +47,7 @@ ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td"
 #: How far up an end tag or ENDS looks.
 SCOPE = frozenset("ul ol dl table div section article main body html".split())
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.DOTALL)
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>|</?[a-zA-Z][^>]*\Z", re.DOTALL)
 _ATTRIBUTE = re.compile(r"([^\s=/\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+)))?")
 _NAME = re.compile(r"[a-z]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
@@ -57,14 +57,14 @@ ARTICLE, MAIN, OPEN = 0, 1, 2
 def _chrome(tag: str, text: str, inside: int) -> bool:
     if tag in CHROME or tag == "header" and inside == OPEN:
         return True
-    if not text or text.isspace() or tag in ("html", "body", "article", "main"):
-        # a comment may be an article of its own
-        if not (text and tag == "article" and inside == ARTICLE):
-            return False
+    if not text or text.isspace() or tag in ("html", "body", "main"):
+        return False
     got = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(text)}
     if "hidden" in got or got.get("aria-hidden") == "true" or "display:none" in got.get("style", "").replace(" ", "").lower() or got.get("role", "").lower() in ROLES:
         return True
-    return any(w in NAMES for w in _NAME.findall(_CAMEL.sub("-", f"{got.get('class', '')} {got.get('id', '')}").lower()))
+    names = f"{got.get('class', '')} {got.get('id', '')}"
+    # an article says by a whole name that it is a comment, say; parts of names tell what it has
+    return any(w in NAMES for w in (names.lower().split() if tag == "article" else _NAME.findall(_CAMEL.sub("-", names).lower())))
 
 
 def blocks(page: str | None) -> list[tuple[str, int]]:
@@ -190,6 +190,7 @@ def _ordered(pages: DataFrame) -> DataFrame:
     dealt = pages.repartitionByRange(task_files(pages), "host", "path", "page_id").sortWithinPartitions("host", "path", "page_id", "lines")
     names = dealt.columns
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, n = TaskContext.get().partitionId(), 0
         for batch in batches:
@@ -198,7 +199,7 @@ def _ordered(pages: DataFrame) -> DataFrame:
             n += k
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in dealt.schema.fields)
-    rows = stored(dealt.mapInArrow(run, f"{schema}, task int, nth long"))
+    rows = stored(dealt.mapInArrow(run, f"{schema}, task int, nth long"), shuffled=False)
     counts = rows.groupBy("task").agg(F.count("*").alias("n"))  # a row for each task
     before = counts.select("task", (F.sum("n").over(Window.orderBy("task")) - F.col("n")).alias("before"))
     return rows.join(F.broadcast(before), "task").withColumn("rank", F.col("before") + F.col("nth")).drop("task", "nth", "before")
@@ -224,6 +225,7 @@ def _differenced(pages: DataFrame) -> DataFrame:
     other = rows.select(F.col("rank").alias("other"), F.col("lines").alias("other_lines"))
     both = out.withColumn("other", best).join(other, "other", "left").select("page_id", "url", "lines", "other_lines")
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lines = [differing(a, b) for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
@@ -235,13 +237,14 @@ def _differenced(pages: DataFrame) -> DataFrame:
 def main_text(pages: DataFrame) -> DataFrame:
     """page_id, url, text and n_chars of pages (page_id, url, html)."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             got = [chosen(h) for h in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([g[0] for g in got], pa.list_(pa.string())), pa.array([g[1] for g in got])], ["page_id", "url", "lines", "open"])
 
     source = pages.select(F.col("page_id").cast("long"), "url", "html")
-    rows = stored(source.mapInArrow(run, "page_id long, url string, lines array<string>, open boolean"))
+    rows = stored(source.mapInArrow(run, "page_id long, url string, lines array<string>, open boolean"), shuffled=False)
     url = F.coalesce("url", F.lit(""))
     host = F.lower(F.regexp_extract(url, r"^[a-zA-Z][\w+.-]*://([^/?#]*)", 1))
     path = F.regexp_replace(F.regexp_replace(url, r"^[a-zA-Z][\w+.-]*://[^/?#]*", ""), r"[?#].*$", "")

@@ -48,12 +48,12 @@ def filled(rows: DataFrame, within: list[str], weight: str, cap: str, total: str
     Rows run full in the order of cap / weight. Before row k does, what is left of total goes by weight to it and to those
     after it; the first row that this leaves below its cap sets the level. Null if all run full.
     """
-    order = Window.partitionBy(*within).orderBy(F.col(cap) / F.col(weight), F.col(by).asc_nulls_last())
+    order = Window.partitionBy(*within).orderBy(F.try_divide(F.col(cap), F.col(weight)), F.col(by).asc_nulls_last())
     full = F.coalesce(F.sum(cap).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     open_ = F.sum(weight).over(order.rowsBetween(Window.currentRow, Window.unboundedFollowing))
-    level = (F.col(total) - full) / F.when(open_ > 0, open_)
+    level = F.try_divide(F.col(total) - full, open_)
     out = rows.withColumns({"_l": level, "_k": F.row_number().over(order)})
-    first = F.min(F.when(F.col("_l") <= F.col(cap) / F.col(weight), F.struct("_k", "_l"))).over(Window.partitionBy(*within))
+    first = F.min(F.when(F.col("_l") <= F.try_divide(F.col(cap), F.col(weight)), F.struct("_k", "_l"))).over(Window.partitionBy(*within))
     return out.withColumn("level", first["_l"]).drop("_l", "_k")
 
 
@@ -82,7 +82,7 @@ def shares(slim: DataFrame) -> DataFrame:
 
 def _rank() -> Column:
     """The Pareto rank, times the odds of the source's mean probability and drawn into 0 to 1, over which it spreads evenly."""
-    q = F.col("mix_u") / (1 - F.col("mix_u")) * ((1 - F.col("part")) / F.col("part")) * (F.col("mean") / (1 - F.col("mean")))
+    q = F.col("mix_u") / (1 - F.col("mix_u")) * F.try_divide(1 - F.col("part"), F.col("part")) * F.try_divide(F.col("mean"), 1 - F.col("mean"))
     return q / (1 + q)
 
 
@@ -119,7 +119,7 @@ def mix(docs: DataFrame, seed: str = "mix-1") -> DataFrame:
     """docs with mix_size, mix_source_size, mix_target and mix_copies: how often the mix takes the document."""
     own = [c for c in docs.columns if not c.startswith("mix_")]
     full = sized(docs.select(*[F.col(f"`{c}`") for c in own]), seed)
-    slim = stored(full.select("doc_id", "source", "mix_size", "mix_band", "mix_u", "mix_tie"))
+    slim = stored(full.select("doc_id", "source", "mix_size", "mix_band", "mix_u", "mix_tie"), shuffled=False)
     return _decided(full, slim, own)
 
 
@@ -140,7 +140,7 @@ def expand(mixed: DataFrame) -> DataFrame:
 
 
 def op8_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    slim = stored(sized(read(spark, sf_dir, "documents").select("doc_id", "source", "text")).drop("text"))
+    slim = stored(sized(read(spark, sf_dir, "documents").select("doc_id", "source", "text")).drop("text"), shuffled=False)
     out = _decided(slim, slim, ["doc_id", "source"])
     return out.select("doc_id", F.col("mix_size").alias("size"), F.col("mix_source_size").alias("source_size"), F.round("mix_target", 6).alias("target"), (F.col("mix_size") * F.col("mix_copies")).alias("taken"))
 
