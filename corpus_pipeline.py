@@ -13,6 +13,8 @@ from quillrank.llm import mixing, neardup, pieces, quality, suffixdedup
 from quillrank.llm.common import read, shared_dir, stored
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+#: Words of a shingle in near_duplicates; the four of neardup.SHINGLE are op2_near_dedup's alone.
+SHINGLE = 5
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -22,7 +24,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates stays, the one of the smallest doc_id."""
-    return neardup.deduplicated(docs.select(*COLUMNS))
+    return neardup.deduplicated(docs.select(*COLUMNS), SHINGLE)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

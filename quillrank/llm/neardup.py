@@ -1,6 +1,6 @@
 """Near-duplicate documents by HyperMinHash.
 
-A document is the set of its distinct shingles, runs of SHINGLE words. Its sketch has REGISTERS registers: the leading bits of
+A document is the set of its distinct shingles, runs of SHINGLE words or of as many as the caller says. Its sketch has REGISTERS registers: the leading bits of
 a shingle's hash choose one, and it keeps the least of the remaining bits, as the number of their leading zeros and the
 MANTISSA bits that follow. Empty registers copy another one, the first that is not empty in a fixed random order. Bands of
 compressed registers are compared; candidates are estimated with the expected chance agreements taken off, and those that may
@@ -100,8 +100,8 @@ def shingles(texts: list[str | None], hasher: PolyHash, k: int = SHINGLE) -> lis
 SIGNED = "doc_id long, n_shingles long, set_key binary, sketch binary, firsts array<long>"
 
 
-def signatures(docs: DataFrame) -> DataFrame:
-    """SIGNED for each row of docs (doc_id, text)."""
+def signatures(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+    """SIGNED for each row of docs (doc_id, text), on shingles of so many words."""
 
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -109,7 +109,7 @@ def signatures(docs: DataFrame) -> DataFrame:
         for whole in batches:
             for batch in slices(whole, 1):
                 n, keys, sketches, firsts = [], [], [], []
-                for s in shingles(batch.column(1).to_pylist(), hasher):
+                for s in shingles(batch.column(1).to_pylist(), hasher, shingle):
                     n.append(len(s))
                     keys.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
                     sketches.append(sketch(s, probes).tobytes() if len(s) else None)
@@ -130,7 +130,7 @@ def buckets(classes: DataFrame) -> DataFrame:
     return rows
 
 
-def full_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
+def full_sets(docs: DataFrame, ids: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """cls, n, sketch and full set, made anew from the texts, of the documents ids (cls)."""
 
     @tidy
@@ -138,7 +138,7 @@ def full_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
         hasher, probes = PolyHash(), _probes()
         for whole in batches:
             for batch in slices(whole, 1):
-                sets = shingles(batch.column(1).to_pylist(), hasher)
+                sets = shingles(batch.column(1).to_pylist(), hasher, shingle)
                 cols = [pa.array([len(s) for s in sets], pa.int64()), pa.array([sketch(s, probes).tobytes() if len(s) else b"" for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())]
                 yield pa.RecordBatch.from_arrays([batch.column(0), *cols], ["cls", "n", "sketch", "hashes"])
 
@@ -257,16 +257,16 @@ def tasks(found: DataFrame) -> DataFrame:
     return rows.select(task.alias("task"), (F.col("own") > F.col("other")).cast("int").alias("side"), F.col("node").alias("cls"))
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """doc_id, n_shingles, component_id (the smallest doc_id that it reaches by links, itself included) and kept."""
-    signed = stored(signatures(docs), shuffled=False)
+    signed = stored(signatures(docs, shingle), shuffled=False)
     full = signed.where("set_key is not null and doc_id is not null")
     classes = stored(full.groupBy("set_key").agg(F.min("doc_id").alias("cls"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"), F.first("firsts").alias("firsts")))
     rows = buckets(classes)
     shared = rows.groupBy("bucket").agg(F.min("cls").alias("least"), F.max("cls").alias("most")).where("least < most")
     first = rows.join(shared, "bucket").where("cls > least").select(F.col("least").alias("a"), F.col("cls").alias("b")).distinct()
     near = components(first)
-    sets = stored(full_sets(docs, near.select(F.col("node").alias("cls"))))
+    sets = stored(full_sets(docs, near.select(F.col("node").alias("cls")), shingle))
     found = components(stored(confirmed(tasks(near).join(sets, "cls"))))
     named = classes.select(F.col("set_key").alias("_k"), "cls").join(found, F.col("cls") == F.col("node"), "left").select("_k", F.coalesce("component", "cls").alias("_c"))
     out = signed.select("doc_id", "n_shingles", "set_key").join(named, F.col("set_key") == F.col("_k"), "left")
@@ -274,9 +274,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
-def deduplicated(docs: DataFrame) -> DataFrame:
+def deduplicated(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """docs with one document of each component, the one of the smallest doc_id, in one row."""
-    kept = near_duplicates(docs).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
+    kept = near_duplicates(docs, shingle).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
     one = docs.join(kept, F.col("doc_id") == F.col("_kept"), "left_semi").dropDuplicates(["doc_id"])
     return one.unionByName(docs.where("doc_id is null"))
 

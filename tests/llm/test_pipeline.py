@@ -36,6 +36,16 @@ def test_stages(spark):
     assert corpus_pipeline.encoded_pieces(spark, mixed, "").count() == mixed.count()
 
 
+def test_near_duplicates_on_five_words(spark):
+    base = [f"w{i}" for i in range(90)]
+    two, one = base[:], base[:]
+    two[30], two[60], one[45] = "x", "y", "z"  # of 90 words two differ: 79 of 95 shingles of four words, 76 of 96 of five
+    docs = frame(spark, [" ".join(t) for t in (base, two)])
+    assert sorted(r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()) == [0, 1]
+    docs = frame(spark, [" ".join(t) for t in (base, one)])
+    assert [r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()] == [0]
+
+
 def test_characters_cut_in_two_go(spark):
     base = words(random.Random(2), 200)
     texts = [f"é{base}à", f"ã{base}á"]  # their second bytes differ, their first ones don't
