@@ -34,6 +34,8 @@ from .common import read, stored, task_files, tidy
 # HTML's elements and the names that pages give to what isn't their article.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style noscript template textarea iframe svg math title object canvas select".split())
+#: Of these, elements that "/>" closes, and those whose content is never text: with no end tag they go on to the page's end.
+FOREIGN, CODE = frozenset(("svg", "math")), frozenset(("script", "style"))
 CHROME = frozenset("nav footer aside form menu button dialog fieldset".split())
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split()
@@ -120,8 +122,11 @@ def blocks(page: str | None) -> list[tuple[str, int]]:
             elif tag == "br" and not dropped:
                 text.append(" ")
         elif tag in RAW:
+            if tag in FOREIGN and m[3].endswith("/"):
+                continue
             close = re.compile(rf"</{tag}\s*>", re.IGNORECASE).search(page, at)
-            at = close.end() if close else len(page)
+            if close or tag in CODE:
+                at = close.end() if close else len(page)
         else:
             if tag in BLOCKS:
                 k = find(("p",), True)

@@ -437,6 +437,15 @@ def test_page_text(spark, page, want):
     assert (r.text, r.n_chars) == (want, len(want))
 
 
+@pytest.mark.parametrize(("page", "want"), [
+    ("<article>a <svg class='icon'/>b<p>c</article>", "a b\nc"), ("<article>a <math/>b <svg><path d=''/><text>no</text></svg>c</article>", "a b c"),
+    ("<article>a <svg />b <svg>no</svg>c</article>", "a b c"), ("<article>a <iframe src=x>b<p>c</article>", "a b\nc"), ("<article>a <svg>b</article>", "a b"),
+    ("<article>a<script>no <p>no</article>", "a"), ("<article>a<style/>no</style>b</article>", "ab"),
+])
+def test_elements_without_end_tag(page, want):
+    assert "\n".join(htmltext.chosen(page)[0]) == want
+
+
 def test_page_differencing(spark):
     page = lambda own: f"<div>Site</div><div>{own}</div><div>Terms</div>"
     rows = [(1, "http://h/a/1", page("first")), (2, "http://h/a/2?x=1", page("second")), (3, "http://other/a/1", page("alone")), (4, None, page("none")), (5, "http://h/b/1", page("third")), (6, "http://same/1", page("x")), (7, "http://same/1", page("x"))]
