@@ -73,10 +73,11 @@ def shares(slim: DataFrame) -> DataFrame:
     target = F.coalesce(F.least(F.col("cap").cast("double"), F.col("level") * F.col("weight")), F.col("cap").cast("double"))
     sources = sources.select(F.col("source").alias("_s"), "source_size", target.alias("target"))
     bands = bands.drop("none").join(sources, F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
-    bands = bands.withColumns({"w": F.col("mix_band") * F.col("band_size"), "c": MAX_COPIES * F.col("band_size")}).where("band_size > 0")
-    bands = filled(bands, ["source"], "w", "c", "target", "mix_band")
+    bands = bands.withColumns({"w": F.col("mix_band") * F.col("band_size"), "c": MAX_COPIES * F.col("band_size")})
+    empty = bands.where("band_size = 0").withColumn("copies", F.lit(0.0))  # its documents have their source's sizes, too
+    bands = filled(bands.where("band_size > 0"), ["source"], "w", "c", "target", "mix_band")
     copies = F.coalesce(F.least(F.lit(float(MAX_COPIES)), F.col("level") * F.col("mix_band")), F.lit(float(MAX_COPIES)))
-    bands = bands.withColumn("copies", F.when(F.abs(copies - F.round(copies)) < NEAR, F.round(copies)).otherwise(copies))
+    bands = bands.withColumn("copies", F.when(F.abs(copies - F.round(copies)) < NEAR, F.round(copies)).otherwise(copies)).drop("level").unionByName(empty)
     return bands.select("source", "mix_band", "n", "band_size", "source_size", "target", F.floor("copies").cast("long").alias("whole"), (F.col("copies") - F.floor("copies")).alias("part"))
 
 

@@ -404,6 +404,18 @@ def test_mix(spark, monkeypatch, rows):
     assert [r.mix_copies for r in mixing.mix(frame(spark, ["a b", "a b"], [1, 1])).collect()] == [1, 1]
 
 
+def test_mix_band_without_words(spark):
+    texts = [None, "", " ", "a " * 80, "b " * 100, "c " * 60, ""]
+    got = mixing.mix(frame(spark, texts, sources={5: "t", 6: "u"})).collect()
+    long = next(r for r in got if r.doc_id == 3)
+    assert long.mix_source_size == 180 and long.mix_target > 0
+    for r in got:
+        if r.source == "s":
+            assert (r.mix_source_size, r.mix_target) == (180, long.mix_target)
+        assert r.mix_size or r.mix_copies == 0
+    assert [(r.mix_source_size, r.mix_target) for r in got if r.source == "u"] == [(0, 0.0)]
+
+
 # 9 pages
 
 
