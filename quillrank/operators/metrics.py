@@ -3,12 +3,17 @@
 from __future__ import annotations
 
 import random
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quillrank.functions import scalars as S
 
+#: Draws that a task makes at a time.
+DRAWS = 1 << 20
 VALID = "status <> 'infrastructure_error'"
 
 
@@ -41,16 +46,54 @@ def paired(problems: DataFrame) -> DataFrame:
     return side("base").join(side("dpo"), "problem_id")
 
 
+def _twister(key: bytes, pos: int) -> np.random.MT19937:
+    out = np.random.MT19937()
+    out.state = {"bit_generator": "MT19937", "state": {"key": np.frombuffer(key, np.uint32), "pos": pos}}
+    return out
+
+
+def _drawn(twister: np.random.MT19937, n: int) -> np.ndarray:
+    """The results of random.Random.randrange(n) from the next DRAWS numbers: as many high bits as n has, drawn again if n or more."""
+    got = twister.random_raw(DRAWS) >> np.uint64(32 - n.bit_length())
+    return got[got < n]
+
+
+def _starts(n: int, iterations: int, seed: int) -> Iterator[tuple[int, int, bytes, int, int]]:
+    """first and count of the iterations of a task; the generator's state before them, and the draws from there that are others'."""
+    *key, pos = random.Random(seed).getstate()[1]
+    twister, done, first, each = _twister(np.array(key, np.uint32).tobytes(), pos), 0, 0, max(1, DRAWS // n)
+    while first < iterations:
+        state = twister.state["state"]
+        key, pos, until = state["key"].tobytes(), int(state["pos"]), done + len(_drawn(twister, n))
+        while first < iterations and first * n < until:
+            yield first, min(each, iterations - first), key, pos, first * n - done
+            first += each
+        done = until
+
+
 def bootstrap_draws(spark: SparkSession, n: int, iterations: int = 1000, seed: int = 42) -> DataFrame:
-    """iteration and index of seeded resamples of n problems; n is the size of a benchmark, and the draws follow the seed's order."""
-    rng = random.Random(seed)
-    rows = [(i, rng.randrange(n)) for i in range(iterations) for _ in range(n)]
-    return spark.createDataFrame(rows, "iteration int, idx int")
+    """iteration and index of seeded resamples of n problems, in the order of random.Random(seed).randrange(n). Tasks make them,
+    each from the generator's state where its iterations begin."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                twister, skip, at, end = _twister(row["key"], row["pos"]), row["skip"], row["first"] * n, (row["first"] + row["count"]) * n
+                while at < end:
+                    got = _drawn(twister, n)[skip:][: end - at]
+                    skip = 0
+                    iteration = (np.arange(at, at + len(got)) // n).astype(np.int32)
+                    at += len(got)
+                    yield pa.RecordBatch.from_arrays([pa.array(iteration), pa.array(got.astype(np.int32))], ["iteration", "idx"])
+
+    starts = list(_starts(n, iterations, seed)) if n else []
+    dealt = spark.createDataFrame(starts, "first long, count long, key binary, pos int, skip long").repartition(max(1, len(starts)))
+    return dealt.mapInArrow(run, "iteration int, idx int")
 
 
 def bootstrap(values: DataFrame, draws: DataFrame, value: str = "value", level: float = 0.95) -> DataFrame:
     """lower, upper and mean of the resampled means; values has idx, numbered from 0."""
-    means = draws.join(values, "idx").groupBy("iteration").agg(F.avg(value).alias("m"))
+    means = draws.join(F.broadcast(values), "idx").groupBy("iteration").agg(F.avg(value).alias("m"))
     tail = (1 - level) / 2
     return means.agg(F.percentile("m", F.lit(tail)).alias("lower"), F.percentile("m", F.lit(1 - tail)).alias("upper"), F.avg("m").alias("mean"))
 

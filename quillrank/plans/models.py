@@ -270,7 +270,10 @@ def _draw_values() -> str:
 
 
 def _numbered(spark, sf, value):
-    p = metrics.paired(problems(spark, sf)).orderBy("problem_id").limit(_POINTS)
+    return _indexed(metrics.paired(problems(spark, sf)).orderBy("problem_id").limit(_POINTS), value)
+
+
+def _indexed(p, value):
     return p.select((F.row_number().over(Window.orderBy("problem_id")) - 1).alias("idx"), F.expr(value).alias("value"))
 
 
@@ -282,6 +285,12 @@ for _name, _value, _sql in (("a34_bootstrap", "dpo_c / dpo_n", "dc::DOUBLE / dn"
         out = metrics.bootstrap(_numbered(spark, sf, value), metrics.bootstrap_draws(spark, _POINTS, 200))
         return out.select(*[F.round(c, 9).alias(c) for c in ("lower", "upper", "mean")])
 
+    @query(_name + "_whole")  # of all paired problems and 1000 resamples; too many draws for SQL
+    def _(spark, sf, value=_value):
+        values = _indexed(metrics.paired(problems(spark, sf)), value)
+        out = metrics.bootstrap(values, metrics.bootstrap_draws(spark, values.count()))
+        return out.select(*[F.round(c, 9).alias(c) for c in ("lower", "upper", "mean")])
+
 
 @query("a36_linear_percentile", "SELECT model_variant, round(quantile_cont(duration_ms, 0.025), 9) AS low, round(quantile_cont(duration_ms, 0.975), 9) AS high FROM model_evals GROUP BY model_variant")
 def _(spark, sf):
