@@ -108,6 +108,27 @@ def _(spark, sf):
     return spark.createDataFrame([(config.digest(json.dumps(ids)),)], "dataset_hash string")
 
 
+def dataset_hash(problems):
+    """The digest of the JSON list of all ids, sorted."""
+    ids = F.transform(F.array_sort(F.collect_list("problem_id")), lambda x: F.concat(F.lit('"'), x, F.lit('"')))
+    return problems.agg(S.sha256(F.concat(F.lit("["), F.array_join(ids, ", "), F.lit("]"))).alias("dataset_hash"))
+
+
+@query("f19_dataset_hash_whole", "SELECT sha256('[' || string_agg('\"' || problem_id || '\"', ', ' ORDER BY problem_id) || ']') AS dataset_hash FROM problems")
+def _(spark, sf):
+    return dataset_hash(view(spark, sf, "problems"))
+
+
+def leaked(training, benchmark):
+    """How many problems of the training rows are the benchmark's."""
+    return training.select("problem_id").distinct().join(benchmark.select("problem_id"), "problem_id", "left_semi").agg(F.count("*").alias("leaked"))
+
+
+@query("j21_leakage_guard_whole", "SELECT count(DISTINCT problem_id) AS leaked FROM decided WHERE reason IS NULL AND problem_id IN (SELECT problem_id FROM problems WHERE ordinal % 7 = 0)")
+def _(spark, sf):
+    return leaked(pairs.accepted(candidates.decided(spark, sf)), view(spark, sf, "problems").where("ordinal % 7 = 0"))
+
+
 @query("f21_cache_key", "SELECT sha256('{\"config\":{\"margin\":0.2},\"inputs\":[\"a\",\"b\"],\"stage\":\"ranking\"}') AS cache_key")
 def _(spark, sf):
     return spark.createDataFrame([(config.cache_key("ranking", ["b", "a"], {"margin": 0.2}),)], "cache_key string")

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
 import os
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from quillrank import catalog
 from quillrank.operators import metrics
-from quillrank.plans import models
+from quillrank.plans import composites, models
 from quillrank.sources.adapters import view
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -44,3 +47,21 @@ def test_bootstrap_of_all(spark, name, value):
     at = lambda q: means[int(q * 999)] + (means[int(q * 999) + 1] - means[int(q * 999)]) * (q * 999 % 1)
     got = catalog.QUERIES[name + "_whole"](spark, SF).first()
     assert n > 40 and (got.lower, got.upper, got.mean) == pytest.approx((at(0.025), at(0.975), sum(means) / 1000), abs=2e-9)
+
+
+@tables
+def test_hash_of_all_ids(spark):
+    p = view(spark, SF, "problems")
+    ids = sorted(r.problem_id for r in p.select("problem_id").collect())
+    of = lambda x: hashlib.sha256(json.dumps(x).encode()).hexdigest()
+    assert len(ids) > 50 and catalog.QUERIES["f19_dataset_hash_whole"](spark, SF).first()[0] == of(ids)
+    assert composites.dataset_hash(p.where(F.col("problem_id") != ids[-1])).first()[0] == of(ids[:-1]) != of(ids)
+    assert composites.dataset_hash(p.where("false")).first()[0] == of([])
+
+
+@tables
+def test_leaks_are_found(spark):
+    rows = lambda *ids: spark.createDataFrame([(i,) for i in ids], "problem_id string")
+    assert composites.leaked(rows("a", "b", "b", "c"), rows("b", "c", "d")).first()[0] == 2
+    assert composites.leaked(rows("a"), rows("b")).first()[0] == 0
+    assert catalog.QUERIES["j21_leakage_guard_whole"](spark, SF).first()[0] > 0
