@@ -96,6 +96,11 @@ def _(spark, sf):
     return pairs.accepted(candidates.decided(spark, sf)).select("preference_id", "strength").orderBy("preference_id").limit(50)
 
 
+@query("o9_pair_table_whole", "SELECT preference_id, strength FROM decided WHERE reason IS NULL ORDER BY preference_id")
+def _(spark, sf):
+    return pairs.accepted(candidates.decided(spark, sf)).select("preference_id", "strength").orderBy("preference_id")
+
+
 @query("f15_sample_seed", "SELECT DISTINCT problem_id, sample_index, (42 + substr(problem_id, 2)::BIGINT * 1000 + sample_index)::BIGINT AS seed FROM model_evals")
 def _(spark, sf):
     ordinal = F.substring("problem_id", 2, 20).cast("long")

@@ -205,6 +205,11 @@ def _(spark, sf):
     return view(spark, sf, "runs").select("run_id", "created_at").orderBy(F.desc("created_at"), F.desc("run_id")).limit(20)
 
 
+@query("o2_newest_runs_whole", "SELECT run_id, created_at FROM runs ORDER BY created_at DESC, run_id DESC")
+def _(spark, sf):
+    return view(spark, sf, "runs").select("run_id", "created_at").orderBy(F.desc("created_at"), F.desc("run_id"))
+
+
 @query("o3_first_problems", "SELECT problem_id, prompt FROM problems ORDER BY problem_id LIMIT 25")
 def _(spark, sf):
     return view(spark, sf, "problems").select("problem_id", "prompt").orderBy("problem_id").limit(25)

@@ -63,6 +63,14 @@ def _(spark, sf):
     return spark.read.schema("run_id string, day string, folder string").json(path).select("run_id", "day")
 
 
+@query("s12_run_catalog_whole", "SELECT run_id, left(created_at::VARCHAR, 10) AS day FROM runs ORDER BY created_at DESC, run_id DESC")
+def _(spark, sf):
+    path, r = scratch.folder(spark, "s12"), view(spark, sf, "runs").select("run_id", "created_at", "status")
+    jsonl.replace(r, path, ["status"])
+    back = spark.read.schema(r.schema).json(path).orderBy(F.desc("created_at"), F.desc("run_id"))
+    return back.select("run_id", F.date_format("created_at", "yyyy-MM-dd").alias("day"))
+
+
 @query("s15_metric_log", "SELECT stage, count(*) AS n, round(sum(cost), 2) AS cost FROM runs GROUP BY stage")
 def _(spark, sf):
     path, r = scratch.folder(spark, "s15"), view(spark, sf, "runs").select("stage", "cost")

@@ -65,3 +65,12 @@ def test_leaks_are_found(spark):
     assert composites.leaked(rows("a", "b", "b", "c"), rows("b", "c", "d")).first()[0] == 2
     assert composites.leaked(rows("a"), rows("b")).first()[0] == 0
     assert catalog.QUERIES["j21_leakage_guard_whole"](spark, SF).first()[0] > 0
+
+
+@tables
+@pytest.mark.parametrize(("name", "rows", "order"), [("o9_pair_table", lambda s: catalog.QUERIES["c12_trained_problems"](s, SF), None), ("o2_newest_runs", lambda s: view(s, SF, "runs"), "created_at"), ("s12_run_catalog", lambda s: view(s, SF, "runs"), "day")])
+def test_all_rows_in_order(spark, name, rows, order):
+    got = catalog.QUERIES[name + "_whole"](spark, SF).collect()
+    assert len(got) >= rows(spark).count() and len(got) > catalog.QUERIES[name](spark, SF).count()
+    key = [(r[order], r.run_id) if order else r.preference_id for r in got]
+    assert key == sorted(key, reverse=order is not None)
