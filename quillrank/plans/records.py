@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import random
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillrank.functions import scalars as S
 from quillrank.plans.registry import query
+from quillrank.sources import scratch
 from quillrank.sources.adapters import table, view
 
 FENCE = "concat('```python', chr(10), code, chr(10), '```')"
@@ -312,10 +314,20 @@ def split_of(n: int, seed: int = 42, ratios: tuple[float, float] = (0.8, 0.1)) -
     return out
 
 
-def splits(spark, sf) -> DataFrame:
-    """The split of each category. Categories are the catalog's, some tens; the shuffle is the driver's random numbers."""
-    names = [r[0] for r in view(spark, sf, "problems").select("category").distinct().orderBy("category").limit(1000).collect()]
-    return spark.createDataFrame(list(zip(names, split_of(len(names)), strict=True)), "category string, split string")
+def splits(spark, sf, key: str = "problem_id") -> DataFrame:
+    """The split of each distinct key of the problems, as a table that is written. The shuffle is the driver's random numbers, over
+    places in the sorted pool; the ids don't come to the driver."""
+    pool = view(spark, sf, "problems").select(key).distinct()
+    pool = pool.select(key, (F.row_number().over(Window.orderBy(key)) - 1).alias("place"))
+    of = split_of(pool.count())
+    places = spark.createDataFrame(pa.table({"place": pa.array(range(len(of)), pa.int32()), "split": pa.array(of, pa.string())}))
+    pool.join(places, "place").select(key, "split").write.parquet(path := scratch.folder(spark, "d1"))
+    return spark.read.schema(f"{key} string, split string").parquet(path)
+
+
+def overlapping(split: DataFrame) -> DataFrame:
+    """Problems that are in more than one split."""
+    return split.groupBy("problem_id").agg(F.count_distinct("split").alias("n")).where("n > 1").select("problem_id")
 
 
 @query("d1_problem_split")
@@ -323,20 +335,24 @@ def _(spark, sf):
     return splits(spark, sf)
 
 
-@query("d1_split_sizes", "SELECT split, CASE split WHEN 'train' THEN greatest(1, floor(n * 0.8)) WHEN 'validation' THEN floor(n * 0.1) ELSE n - greatest(1, floor(n * 0.8)) - floor(n * 0.1) END::BIGINT AS n FROM (SELECT count(DISTINCT category) AS n FROM problems), (SELECT unnest(['train', 'validation', 'test']) AS split)")
+@query("d1_split_sizes_whole", "SELECT split, CASE split WHEN 'train' THEN greatest(1, floor(n * 0.8)) WHEN 'validation' THEN floor(n * 0.1) ELSE n - greatest(1, floor(n * 0.8)) - floor(n * 0.1) END::BIGINT AS n FROM (SELECT count(DISTINCT problem_id) AS n FROM problems), (SELECT unnest(['train', 'validation', 'test']) AS split)")
 def _(spark, sf):
     return splits(spark, sf).groupBy("split").agg(F.count("*").alias("n"))
 
 
+@query("d1_split_sizes", "SELECT split, CASE split WHEN 'train' THEN greatest(1, floor(n * 0.8)) WHEN 'validation' THEN floor(n * 0.1) ELSE n - greatest(1, floor(n * 0.8)) - floor(n * 0.1) END::BIGINT AS n FROM (SELECT count(DISTINCT category) AS n FROM problems), (SELECT unnest(['train', 'validation', 'test']) AS split)")
+def _(spark, sf):
+    return splits(spark, sf, "category").groupBy("split").agg(F.count("*").alias("n"))
+
+
 @query("j27_split_membership", "SELECT count(*) AS n, count(*) AS with_split FROM problems")
 def _(spark, sf):
-    return view(spark, sf, "problems").join(F.broadcast(splits(spark, sf)), "category", "left").agg(F.count("*").alias("n"), F.count("split").alias("with_split"))
+    return view(spark, sf, "problems").join(splits(spark, sf), "problem_id", "left").agg(F.count("*").alias("n"), F.count("split").alias("with_split"))
 
 
 @query("u11_split_disjointness", "SELECT category FROM problems WHERE false")
 def _(spark, sf):
-    p = view(spark, sf, "problems").join(F.broadcast(splits(spark, sf)), "category")
-    return p.groupBy("category").agg(F.count_distinct("split").alias("n")).where("n > 1").select("category")
+    return overlapping(splits(spark, sf)).join(view(spark, sf, "problems"), "problem_id").select("category")
 
 
 @query("d6_benchmark_drift", "SELECT count(*) AS n, sha256(string_agg(problem_id, ',' ORDER BY problem_id)) AS dataset_hash FROM problems WHERE ordinal % 7 = 0")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from quillrank import catalog
 from quillrank.operators import metrics
-from quillrank.plans import composites, models
+from quillrank.plans import composites, models, records
 from quillrank.sources.adapters import view
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -74,3 +74,15 @@ def test_all_rows_in_order(spark, name, rows, order):
     assert len(got) >= rows(spark).count() and len(got) > catalog.QUERIES[name](spark, SF).count()
     key = [(r[order], r.run_id) if order else r.preference_id for r in got]
     assert key == sorted(key, reverse=order is not None)
+
+
+@tables
+def test_split_of_all_problems(spark):
+    ids = sorted({r.problem_id for r in view(spark, SF, "problems").select("problem_id").collect()})
+    got = catalog.QUERIES["d1_problem_split"](spark, SF).collect()
+    assert {r.problem_id: r.split for r in got} == dict(zip(ids, records.split_of(len(ids)), strict=True)) and len(got) == len(ids)
+
+
+def test_overlap_of_splits(spark):
+    rows = [("a", "train"), ("b", "train"), ("b", "train"), ("c", "train"), ("c", "test")]
+    assert [r.problem_id for r in records.overlapping(spark.createDataFrame(rows, "problem_id string, split string")).collect()] == ["c"]
