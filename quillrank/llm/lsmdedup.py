@@ -2,7 +2,7 @@
 
 A word is removed if a window of WINDOW words covers it whose words also begin earlier: in a document of smaller doc_id, or
 earlier in the same one. Documents come in batches of rising doc_id. The index holds what is past in immutable runs, sorted by
-fingerprint; a batch is merge-joined with them, what matches is verified, the batch's new fingerprints become another run, and
+fingerprint; a batch is united with them and summed by fingerprint, what matches is verified, the batch's new fingerprints become another run, and
 once there are FANOUT runs they are compacted to one before the next batch.
 
 Windows that begin one after another and share an anchor, the least hash of GRAM words in them, are one entry: the anchor's
