@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import ctypes
 import functools
 import gc
@@ -41,7 +42,23 @@ def shared_dir(spark: SparkSession) -> str:
             spark.sparkContext.setCheckpointDir(root)
         else:
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-    return f"{root.rstrip('/')}/quillrank-{uuid.uuid4().hex}"
+    folder = f"{root.rstrip('/')}/quillrank-{uuid.uuid4().hex}"
+    for made in _scopes:
+        made.append(folder)
+    return folder
+
+
+_scopes: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Deletes, at its end, all folders that shared_dir() gave within it: what is made of them must be written by then."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        dropped(spark, *_scopes.pop())
 
 
 def few(df: DataFrame) -> DataFrame:
@@ -53,7 +70,7 @@ def few(df: DataFrame) -> DataFrame:
 
 def stored(df: DataFrame, folder: str | None = None, shuffled: bool = True) -> DataFrame:
     """df, written to the shared folder and read back: it cuts the lineage and survives lost executors. shuffled: it comes out of
-    a shuffle, and is written from few() tasks; else each of its input's splits is a task, and run again alone if lost."""
+    a shuffle and SQL alone, and is written from few() tasks; else, as for all work in Python, each partition is a task and a file."""
     spark = df.sparkSession
     folder = folder or shared_dir(spark)
     (few(df) if shuffled else df).write.parquet(folder)
@@ -67,6 +84,12 @@ def dropped(spark: SparkSession, *folders: str) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def freed(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files that no plan refers to any more: it does so when the driver's JVM collects garbage."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def task_files(df: DataFrame) -> int:
     """Partitions for work that is bound by Python: a few for each core, by what the session says."""
     spark = df.sparkSession
