@@ -1,26 +1,29 @@
 """Near-duplicate documents by HyperMinHash.
 
-A document is the set of its distinct shingles, runs of SHINGLE words or of as many as the caller says. Its sketch has REGISTERS registers: the leading bits of
-a shingle's hash choose one, and it keeps the least of the remaining bits, as the number of their leading zeros and the
-MANTISSA bits that follow. Empty registers copy another one, the first that is not empty in a fixed random order. Bands of
-compressed registers are compared; candidates are estimated with the expected chance agreements taken off, and those that may
-reach the threshold are confirmed on their full sets.
-
-Documents of equal sets are one class, by its smallest doc_id, and only classes go on. Classes that share a band's bucket are
-joined to its smallest one, and what this connects makes a neighbourhood. Its members meet in a task, which goes through the
-buckets and confirms or refutes every pair in one, unless the two are known to be in one component by then: no link is lost, and
-pairs are never rows. A neighbourhood of more than BLOCK classes is cut into blocks, and a task gets two of them at most. Sets of
-up to SMALL shingles, for which a sketch is coarse, also share buckets by their first shingles in the order of the hashes
-(prefix filtering), which finds all their links for certain. For the others a pair at the threshold shares no band with a
-probability of (1 - 0.8 ^ 6) ^ 42, 3e-6.
-
-At scale: band rows are summed by bucket before they meet, and joins on a bucket can be split where it is hot. Full sets are
-made again, from the texts, for classes that share a bucket with another, and for no others. A neighbourhood of n different
-classes costs n / BLOCK copies of its sets.
-
-Defined results: a null or empty text, or one without words, has no shingles and is linked with nothing. Rows that share a
-doc_id are one document; a null doc_id is a document of its own that is kept. Repeated rows get the same result each. An empty
-table gives an empty result. Other columns of the input are not kept by near_duplicates(), and all are by deduplicated().
+A document is the set of its distinct shingles, runs of SHINGLE words or of as many as the caller says. Its sketch has REGISTERS
+registers: the leading bits of a shingle's fingerprint choose one, and it keeps the least of the remaining bits, as the number of
+their leading zeros and the MANTISSA bits that follow. Empty registers copy another one, the first that is not empty in a fixed
+random order. Bands of compressed registers are compared; candidates are estimated with the expected chance agreements taken off,
+and those that may reach the threshold are confirmed on their full sets, of fingerprints modulo a prime of 61 bits (windows.py).
+
+Documents of equal sets are one class, by its smallest doc_id, and only classes go on. Of a band's bucket the class that shares most
+with others, by the sizes of all its buckets, is the leader: of a text and its copies that is the text, as a rule. First each class is held
+against the best of its buckets' leaders, one pair for each class, which joins most groups of copies whatever their size. What is
+confirmed makes components, and a bucket of one component is done with, as is one whose only pair is refuted. The classes of all other
+buckets of a leader are a group, whose members meet in a task; it goes through the buckets and confirms or refutes every pair in one,
+unless the two are known to be in one component by then: no link is lost, and pairs are never rows. Sets of up to SMALL shingles, for which a
+sketch is coarse, also share buckets by their first shingles in the order of the fingerprints (prefix filtering), which finds all
+their links for certain. For the others a pair at the threshold shares no band with a probability of (1 - 0.8 ^ 6) ^ 42, 3e-6.
+
+At scale: band rows are summed by bucket before they meet, and joins on a bucket or a leader can be split where it is hot. Full sets are
+made again, from the texts, for classes that share a bucket with another, and for no others. A group of more than BLOCK classes
+or BLOCK_BYTES of sets is cut into blocks, and a task gets two of them, so that its memory is bounded whatever the group's size; a group of
+n blocks costs n copies of its sets. A document alone may be larger than a block. Tables that are done with are deleted.
+
+Defined results: a null or empty text, or one without words, has no shingles and is linked with nothing. A text of any length is
+one set; its words are hashed piece by piece. Rows that share a doc_id are one document; a null doc_id is a document of its own
+that is kept. Repeated rows get the same result each. An empty table gives an empty result. Other columns of the input are not kept by
+near_duplicates(), and all are by deduplicated().
 """
 
 from __future__ import annotations
@@ -33,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read, slices, stored, task_files, tidy
+from .common import dropped, freed, read, shared_dir, slices, stored, tidy
 from .graph import components
 from .windows import LOWER, PolyHash, word_windows
 
@@ -43,8 +46,8 @@ REGISTERS = 1 << REGISTER_BITS
 BANDS = REGISTERS // ROWS
 #: Sets of so many shingles also meet by their first ones.
 SMALL = 32
-#: Classes of a neighbourhood that meet in one task: two blocks of so many.
-BLOCK = 2048
+#: Classes of a group that meet in one task, and bytes of their sets: two blocks of so many.
+BLOCK, BLOCK_BYTES = 1024, 4 << 20
 #: Shingles of a block's members, the most frequent ones, that are compared as bits.
 FREQUENT = 1024
 #: An estimate is let through from so many standard deviations below the threshold.
@@ -97,6 +100,10 @@ def shingles(texts: list[str | None], hasher: PolyHash, k: int = SHINGLE) -> lis
     return [np.unique(x) for x in word_windows(hasher, words, k, short=True)]
 
 
+def _key(s: np.ndarray) -> bytes | None:
+    return hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None
+
+
 SIGNED = "doc_id long, n_shingles long, set_key binary, sketch binary, firsts array<long>"
 
 
@@ -111,7 +118,7 @@ def signatures(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
                 n, keys, sketches, firsts = [], [], [], []
                 for s in shingles(batch.column(1).to_pylist(), hasher, shingle):
                     n.append(len(s))
-                    keys.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
+                    keys.append(_key(s))
                     sketches.append(sketch(s, probes).tobytes() if len(s) else None)
                     firsts.append(s[: prefix_length(len(s))].view(np.int64) if 0 < len(s) <= SMALL else np.zeros(0, np.int64))
                 yield pa.RecordBatch.from_arrays(
@@ -131,7 +138,7 @@ def buckets(classes: DataFrame) -> DataFrame:
 
 
 def full_sets(docs: DataFrame, ids: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """cls, n, sketch and full set, made anew from the texts, of the documents ids (cls)."""
+    """cls, sketch and full set, made anew from the texts, of the documents ids (cls)."""
 
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -139,11 +146,11 @@ def full_sets(docs: DataFrame, ids: DataFrame, shingle: int = SHINGLE) -> DataFr
         for whole in batches:
             for batch in slices(whole, 1):
                 sets = shingles(batch.column(1).to_pylist(), hasher, shingle)
-                cols = [pa.array([len(s) for s in sets], pa.int64()), pa.array([sketch(s, probes).tobytes() if len(s) else b"" for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())]
-                yield pa.RecordBatch.from_arrays([batch.column(0), *cols], ["cls", "n", "sketch", "hashes"])
+                cols = [pa.array(c, pa.binary()) for c in ([_key(s) for s in sets], [sketch(s, probes).tobytes() if len(s) else None for s in sets], [s.tobytes() for s in sets])]
+                yield pa.RecordBatch.from_arrays([batch.column(0), *cols], ["cls", "set_key", "sketch", "hashes"])
 
-    few = docs.select(F.col("doc_id").cast("long"), "text").join(ids, F.col("doc_id") == F.col("cls"), "left_semi")
-    return few.mapInArrow(run, "cls long, n long, sketch binary, hashes binary").where("n > 0").dropDuplicates(["cls", "hashes"])
+    wanted = docs.select(F.col("doc_id").cast("long"), "text").join(ids, F.col("doc_id") == F.col("cls"), "left_semi")
+    return wanted.mapInArrow(run, "cls long, set_key binary, sketch binary, hashes binary").where("set_key is not null").dropDuplicates(["cls", "set_key"])
 
 
 def band_keys(sketches: np.ndarray, sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -160,11 +167,12 @@ def band_keys(sketches: np.ndarray, sets: list[np.ndarray]) -> tuple[np.ndarray,
     return np.concatenate(keys), np.concatenate(of)
 
 
-class Neighbourhood:
-    """Members that are held against each other: their sets, sketches and, for bits, the most frequent shingles of all."""
+class Group:
+    """Members that are held against each other: their sets, sketches, known components and, for bits, the most frequent shingles
+    of all."""
 
-    def __init__(self, sets: list[np.ndarray], sketches: np.ndarray, side: np.ndarray) -> None:
-        self.sets, self.sketches, self.side = sets, sketches, side
+    def __init__(self, sets: list[np.ndarray], sketches: np.ndarray, side: np.ndarray, known: np.ndarray) -> None:
+        self.sets, self.sketches, self.side, self.known = sets, sketches, side, known
         self.n = np.array([len(s) for s in sets])
         words, at, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
         of = np.repeat(np.arange(len(sets)), self.n)
@@ -202,12 +210,14 @@ class Neighbourhood:
         order = np.argsort(keys, kind="stable")
         keys, of = keys[order], of[order]
         edges = np.flatnonzero(np.diff(keys, prepend=keys[:1] + np.uint64(1), append=keys[-1:] + np.uint64(1)))
-        comp, seen, out = np.arange(len(self.sets)), np.zeros((len(self.sets),) * 2, bool), []
+        comp, seen, out = np.unique(self.known, return_inverse=True)[1], np.zeros((len(self.sets),) * 2, bool), []
         two = self.side.any() and not self.side.all()
         for a, b in zip(edges[:-1], edges[1:], strict=True):
             if b - a < 2:
                 continue
             members = of[a:b]
+            if (comp[members] == comp[members[0]]).all():
+                continue
             for i in members:
                 others = members[(comp[members] != comp[i]) & ~seen[i, members]]
                 if two:
@@ -223,11 +233,11 @@ class Neighbourhood:
 
 
 def confirmed(members: DataFrame) -> DataFrame:
-    """Links a, b of members (task, side, cls, sketch, hashes), found in each task by itself."""
+    """Links a, b of members (task, side, cls, component, sketch, hashes), found in each task by itself."""
 
     def links(rows: list[tuple]) -> pa.RecordBatch:
-        sets = [np.frombuffer(r[4], np.uint64) for r in rows]
-        group = Neighbourhood(sets, np.stack([np.frombuffer(r[3], "<u2") for r in rows]), np.array([r[1] for r in rows], bool))
+        sets = [np.frombuffer(r[5], np.uint64) for r in rows]
+        group = Group(sets, np.stack([np.frombuffer(r[4], "<u2") for r in rows]), np.array([r[1] for r in rows], bool), np.array([r[3] for r in rows]))
         pairs = group.forest()
         return pa.RecordBatch.from_arrays([pa.array([rows[i][2] for i, _ in pairs], pa.int64()), pa.array([rows[j][2] for _, j in pairs], pa.int64())], ["a", "b"])
 
@@ -243,32 +253,85 @@ def confirmed(members: DataFrame) -> DataFrame:
         if held:
             yield links(held)
 
-    dealt = members.select("task", "side", "cls", "sketch", "hashes").repartition(task_files(members), "task").sortWithinPartitions("task")
+    dealt = members.select("task", "side", "cls", "component", "sketch", "hashes").repartition("task").sortWithinPartitions("task")
     return dealt.mapInArrow(run, "a long, b long")
 
 
-def tasks(found: DataFrame) -> DataFrame:
-    """task, side and cls: where each class of a neighbourhood (node, component) is to be. One of n blocks is in n tasks."""
-    sizes = found.groupBy(F.col("component").alias("_c")).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    rows = found.join(sizes, F.col("component") == F.col("_c")).withColumn("own", own)
+def confirmed_pairs(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) that are links. A row has both sets, so the join with a hot a can be split."""
+
+    @tidy
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for x, y in zip(batch.column(2), batch.column(3), strict=True):
+                x, y = (np.frombuffer(c.as_buffer(), np.uint64) for c in (x, y))
+                least = -(-THRESHOLD * (len(x) + len(y)) // (100 + THRESHOLD))
+                keep.append(min(len(x), len(y)) >= least and len(np.intersect1d(x, y, assume_unique=True)) >= least)
+            yield pa.RecordBatch.from_arrays(batch.columns[:2], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    one = sets.select(F.col("cls").alias("b"), F.col("hashes").alias("y"))
+    two = sets.select(F.col("cls").alias("a"), F.col("hashes").alias("x"))
+    return pairs.join(one, "b").join(two, "a").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+
+
+def tasks(groups: DataFrame) -> DataFrame:
+    """task, side, cls and component: where each class of a group (leader, cls, n, component) is to be. One of n blocks is in n
+    tasks."""
+    large = F.greatest(F.count("*") / BLOCK, F.sum(F.col("n") * 8) / BLOCK_BYTES)
+    sizes = groups.groupBy(F.col("leader").alias("_l")).agg(F.ceil(large).cast("int").alias("blocks"))
+    own = F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int")
+    rows = groups.join(sizes, F.col("leader") == F.col("_l")).withColumn("own", own)
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    task = F.xxhash64("component", F.least("own", "other"), F.greatest("own", "other"))
-    return rows.select(task.alias("task"), (F.col("own") > F.col("other")).cast("int").alias("side"), F.col("node").alias("cls"))
+    task = F.xxhash64("leader", F.least("own", "other"), F.greatest("own", "other"))
+    return rows.select(task.alias("task"), (F.col("own") > F.col("other")).cast("int").alias("side"), "cls", "component")
+
+
+def led(rows: DataFrame) -> DataFrame:
+    """bucket, size, cls, n, leader and score (the leader's) of the classes of each bucket that has two or more; rows: bucket, cls, n."""
+    shared = rows.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
+    members = rows.join(shared, "bucket")
+    scores = members.groupBy("cls").agg(F.sum("size").alias("own"))
+    scored = members.join(scores, "cls")
+    leaders = scored.groupBy("bucket").agg(F.max(F.struct("own", (-F.col("cls")).alias("c"))).alias("l"))
+    return members.join(leaders.select("bucket", (-F.col("l.c")).alias("leader"), F.col("l.own").alias("score")), "bucket")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """doc_id, n_shingles, component_id (the smallest doc_id that it reaches by links, itself included) and kept."""
-    signed = stored(signatures(docs, shingle), shuffled=False)
+    spark = docs.sparkSession
+    folder = shared_dir(spark)
+    signed = stored(signatures(docs, shingle), f"{folder}/signed", shuffled=False)
     full = signed.where("set_key is not null and doc_id is not null")
-    classes = stored(full.groupBy("set_key").agg(F.min("doc_id").alias("cls"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"), F.first("firsts").alias("firsts")))
-    rows = buckets(classes)
-    shared = rows.groupBy("bucket").agg(F.min("cls").alias("least"), F.max("cls").alias("most")).where("least < most")
-    first = rows.join(shared, "bucket").where("cls > least").select(F.col("least").alias("a"), F.col("cls").alias("b")).distinct()
-    near = components(first)
-    sets = stored(full_sets(docs, near.select(F.col("node").alias("cls")), shingle))
-    found = components(stored(confirmed(tasks(near).join(sets, "cls"))))
+    classes = full.groupBy("set_key").agg(F.min("doc_id").alias("cls"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"), F.first("firsts").alias("firsts"))
+    classes = stored(classes, f"{folder}/classes")
+    members = stored(led(buckets(classes)), f"{folder}/members")
+    sets = stored(full_sets(docs, members.select("cls").distinct(), shingle), f"{folder}/sets")
+    freed(spark)
+    # each class with the best of its leaders
+    best = members.where("leader <> cls").groupBy("cls").agg(F.max_by("leader", F.struct("score", -F.col("leader"))).alias("best"))
+    links = stored(confirmed_pairs(best.select(F.col("best").alias("a"), F.col("cls").alias("b")), sets), f"{folder}/links", shuffled=False)
+    near = components(links)
+    # what is left: buckets of more than one component
+    known = members.join(near, F.col("cls") == F.col("node"), "left").join(best, "cls", "left")
+    known = known.select("bucket", "size", "cls", "n", "leader", F.coalesce("component", "cls").alias("component"), ((F.col("leader") == F.col("cls")) | (F.col("leader") == F.col("best"))).alias("told"))
+    known = stored(known, f"{folder}/known")
+    undone = known.groupBy(F.col("bucket").alias("_b")).agg(F.min("component").alias("low"), F.max("component").alias("high"), F.bool_and("told").alias("told"), F.max("size").alias("size"))
+    undone = undone.where("low < high and (size > 2 or not told)").select("_b")
+    groups = stored(known.join(undone, F.col("bucket") == F.col("_b"), "left_semi").select("leader", "cls", "n", "component").distinct(), f"{folder}/groups")
+    more = stored(confirmed(tasks(groups).join(sets, "cls")), f"{folder}/more", shuffled=False)
+    freed(spark)
+    # these join components as a whole
+    of = known.select(F.col("cls").alias("_n"), F.col("component").alias("_c")).distinct()
+    joins = more
+    for end in ("a", "b"):
+        joins = joins.join(of, F.col(end) == F.col("_n")).withColumn(end, F.col("_c")).drop("_n", "_c")
+    merged = components(joins.select("a", "b")).select(F.col("node").alias("_m"), F.col("component").alias("_to"))
+    found = of.join(merged, F.col("_c") == F.col("_m"), "left").select(F.col("_n").alias("node"), F.coalesce("_to", "_c").alias("component"))
     named = classes.select(F.col("set_key").alias("_k"), "cls").join(found, F.col("cls") == F.col("node"), "left").select("_k", F.coalesce("component", "cls").alias("_c"))
+    named = stored(named, f"{folder}/named")
+    dropped(spark, *(f"{folder}/{x}" for x in ("classes", "members", "sets", "links", "known", "groups", "more")))
+    freed(spark)
     out = signed.select("doc_id", "n_shingles", "set_key").join(named, F.col("set_key") == F.col("_k"), "left")
     component = F.coalesce("_c", "doc_id")
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
