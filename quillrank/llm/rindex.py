@@ -1,8 +1,10 @@
 """A run-length index: the run-compressed Burrows-Wheeler transform of many segments, with samples at the ends of its runs.
 
-The transform of repetitive text has few runs. Suffix rows are sampled where a run begins and where the one before it ends,
-and only there are matches compared, byte by byte. Between samples the matching statistics follow by streaming over the text:
-a suffix whose row lies inside a run matches one byte less than the suffix before it in the text.
+The transform of repetitive text has few runs. The index keeps of each run its byte, its length, and the text positions of its first
+and last row; sorting the suffixes, once, is the means to that and is not kept. count() searches backward by steps from run to run.
+Matching statistics need no more than the samples: the match of a suffix with the row before is compared, byte by byte, where a run
+begins, and with the row after where one ends. From there they are streamed over the text: a suffix whose row lies inside a run
+has the neighbour of the suffix before it in the text, one further on, and matches one byte less.
 """
 
 from __future__ import annotations
@@ -28,7 +30,7 @@ class RunLengthIndex:
         raw = np.frombuffer(b"\xff".join(segments) + b"\xff", np.uint8)
         self.text = raw + np.uint8(1)
         n = len(raw)
-        self.left = np.repeat(self.first + sizes - 1, sizes) - np.arange(n)  # bytes before the segment's mark
+        self.left = (np.repeat(self.first + sizes - 1, sizes) - np.arange(n)).astype(np.int32)  # bytes before the segment's mark
         self._pack()
         rows = self._sorted_suffixes()
         before = self.text[rows - 1]  # of the first suffix, the last mark
@@ -39,7 +41,34 @@ class RunLengthIndex:
         self.heads = before[self.starts]
         self.start_at = rows[self.starts]
         self.end_at = rows[np.append(self.starts[1:], n) - 1]
-        self.rows = rows
+        # for backward search: rows of smaller bytes, and of the same byte in runs before
+        order = np.argsort(self.heads, kind="stable")
+        lengths = np.diff(self.starts, append=n)
+        self._run_rank = np.empty(len(order), np.int64)
+        self._run_rank[order] = np.cumsum(lengths[order]) - lengths[order]
+        self._by_byte = {int(b): np.flatnonzero(self.heads == b) for b in np.unique(self.heads)}
+        self._base = np.searchsorted(np.sort(self.text), np.arange(257))
+
+    def _rank(self, byte: int, row: int) -> int:
+        """The row of the suffix that byte and the suffix of row give, were the byte before it: the step from run to run."""
+        runs = self._by_byte[byte]
+        k = int(np.searchsorted(self.starts[runs], row)) - 1  # the last of the byte's runs to begin before row
+        if k < 0:
+            return int(self._base[byte])
+        run = runs[k]
+        end = self.starts[run + 1] if run + 1 < len(self.starts) else len(self.text)
+        return int(self._run_rank[run]) + min(row, int(end)) - int(self.starts[run])
+
+    def count(self, pattern: bytes) -> int:
+        """How often the pattern occurs in the segments, by backward search over the runs."""
+        low, high = 0, len(self.text)
+        for b in reversed(pattern):
+            if b + 1 not in self._by_byte:
+                return 0
+            low, high = self._rank(b + 1, low), self._rank(b + 1, high)
+            if low >= high:
+                return 0
+        return high - low
 
     def _pack(self) -> None:
         """Eight bytes from each position on in one number, with nothing after a mark."""
@@ -97,25 +126,27 @@ class RunLengthIndex:
             out[live] += _PACK
         return out
 
-    def matching(self) -> np.ndarray:
-        """For each text position, how far it agrees with the suffix in the row before its own."""
+    def _streamed(self, at: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """Lengths at the text positions at, and from each of them on one less at every step until the next."""
         n = len(self.text)
-        sampled = np.zeros(n, np.int64)
-        sampled[self.start_at[1:]] = self.common(self.start_at[1:], self.end_at[:-1])
-        known = np.zeros(n, bool)
-        known[self.start_at] = True
+        sampled, known = np.zeros(n, np.int64), np.zeros(n, bool)
+        sampled[at] = lengths
+        known[at] = True
         known[0] = True
-        at = np.arange(n)
-        last = np.maximum.accumulate(np.where(known, at, 0))
-        return sampled[last] - (at - last)
+        here = np.arange(n)
+        last = np.maximum.accumulate(np.where(known, here, 0))
+        return sampled[last] - (here - last)
+
+    def matching(self) -> np.ndarray:
+        """For each text position, the longest that it agrees with the suffix in the row before its own or in the row after."""
+        lengths = self.common(self.start_at[1:], self.end_at[:-1])
+        before = self._streamed(np.append(self.start_at[0], self.start_at[1:]), np.append(0, lengths))
+        after = self._streamed(np.append(self.end_at[:-1], self.end_at[-1]), np.append(lengths, 0))
+        return np.maximum(before, after)
 
     def repeated(self, length: int) -> np.ndarray:
         """Text positions from which length bytes also begin elsewhere in the segments, as true."""
-        near = self.matching()[self.rows] >= length  # with the row before
-        near[:-1] |= near[1:]
-        out = np.zeros(len(self.text), bool)
-        out[self.rows] = near
-        return out
+        return self.matching() >= length
 
 
 def repeated_starts(segments: Sequence[bytes], length: int) -> list[np.ndarray]:
