@@ -55,8 +55,12 @@ def line_count(c: Column | str) -> Column:
     return F.when(col(c) == "", 0).otherwise(F.size(F.split(F.regexp_replace(col(c), brk + r"\z", ""), brk, -1))).cast("long")
 
 
+# Fixed value: how a line begins that says that a text is code.
+CODE_LINE = r"(?m)^[ \t]*(?:async[ \t]+def|def|class|import|from)[ \t]"
+
+
 def looks_like_code(c: Column | str) -> Column:
-    return F.coalesce(col(c).rlike(r"(?m)^[ \t]*(?:async[ \t]+def|def|class|import|from)[ \t]"), F.lit(False))
+    return F.coalesce(col(c).rlike(CODE_LINE), F.lit(False))
 
 
 def _block(c: Column) -> Column:
@@ -65,9 +69,9 @@ def _block(c: Column) -> Column:
 
 def extracted_code(raw: Column | str) -> Column:
     """struct(code, format): the first python fence that holds something; else the first fence that looks like code; else the
-    bare text if it has no fence and looks like code; else nulls."""
+    bare text if it has no fence and looks like code; else a null code of unknown format."""
     raw = col(raw)
-    python = F.filter(F.transform(F.regexp_extract_all(raw, F.lit(r"(?is)```(?:python|py)[ \t]*\r?\n(.*?)```"), F.lit(1)), _block), lambda x: x != "")
+    python = F.filter(F.transform(F.regexp_extract_all(raw, F.lit(r"(?is)```[ \t]*(?:python3|python|py)[ \t]*\r?\n(.*?)```"), F.lit(1)), _block), lambda x: x != "")
     any_ = F.filter(F.transform(F.regexp_extract_all(raw, F.lit(r"(?s)```[ \t]*\r?\n(.*?)```"), F.lit(1)), _block), lambda x: (x != "") & looks_like_code(x))
     bare = _block(raw)
     first = lambda a: F.get(a, F.lit(0))
@@ -75,8 +79,8 @@ def extracted_code(raw: Column | str) -> Column:
     return (
         F.when(F.size(python) > 0, found(first(python), "python_fence"))
         .when(F.size(any_) > 0, found(first(any_), "generic_fence"))
-        .when(~raw.contains("```") & (bare != "") & looks_like_code(bare), found(bare, "bare"))
-        .otherwise(F.struct(F.lit(None).cast("string").alias("code"), F.lit(None).cast("string").alias("format")))
+        .when(~raw.contains("```") & (bare != "") & looks_like_code(bare), found(bare, "plain"))
+        .otherwise(F.struct(F.lit(None).cast("string").alias("code"), F.lit("unknown").alias("format")))
     )
 
 
@@ -140,7 +144,30 @@ def iso_utc(c: Column | str) -> Column:
     return F.date_format(col(c), "yyyy-MM-dd'T'HH:mm:ss'Z'")
 
 
+def canonical_json(fields: dict[str, Column]) -> Column:
+    """A JSON object with its keys in order, without white space; null fields are null."""
+    return F.to_json(F.struct(*[c.alias(k) for k, c in sorted(fields.items())]), {"ignoreNullFields": "false"})
+
+
 def compile_error(stderr: Column | str) -> Column:
     """An error of compiling shows no traceback header."""
     s = F.coalesce(col(stderr), F.lit(""))
     return ~s.contains("Traceback (most recent call last):") & s.rlike("SyntaxError:|IndentationError:|TabError:")
+
+
+def minted_id(prefix: str, at: Column | str, token: Column | str) -> Column:
+    """A run's id: a prefix, when it began, and four characters of a token."""
+    return F.concat_ws("_", F.lit(prefix), F.date_format(col(at), "yyyyMMdd_HHmmss"), F.substring(col(token), 1, 4))
+
+
+def valid_ratios(ratios: Column | str) -> Column:
+    """Whether a map has just train, validation and test, none below 0, and 1 in sum."""
+    r = col(ratios)
+    values = F.map_values(r)
+    total = F.aggregate(values, F.lit(0.0), lambda a, x: a + x)
+    return (F.array_sort(F.map_keys(r)) == F.array(F.lit("test"), F.lit("train"), F.lit("validation"))) & F.forall(values, lambda x: x >= 0) & (F.abs(total - 1) <= 1e-6)
+
+
+def chat_array(role: Column | str, content: Column | str) -> Column:
+    """A text as an array of one message."""
+    return F.array(F.struct(col(role).alias("role"), col(content).alias("content")))

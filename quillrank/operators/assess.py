@@ -10,12 +10,16 @@ from quillrank.functions import scalars as S
 COUNTS = ("tests_total", "tests_passed", "tests_failed", "tests_error", "tests_skipped")
 
 
-def correctness() -> Column:
-    """struct(correctness, reason). Missing evidence comes first, then infrastructure, then problems without tests."""
+MISSING = "missing_evaluation_result"
+
+
+def correctness(missing: Column | None = None) -> Column:
+    """struct(correctness, reason). Missing evidence comes first, for the reason missing, a failure's own, where there is one; then
+    infrastructure, then problems without tests."""
     verdict = lambda c, r=None: F.struct(F.lit(c).alias("correctness"), F.lit(r).cast("string").alias("reason"))
     right = (F.col("tests_passed") == F.col("tests_total")) & (F.col("tests_failed") + F.col("tests_error") + F.col("tests_skipped") == 0) & ~F.col("timeout")
     return (
-        F.when(~F.col("has_result"), verdict("indeterminate", "missing_evaluation_result"))
+        F.when(~F.col("has_result"), F.struct(F.lit("indeterminate").alias("correctness"), F.coalesce(*([] if missing is None else [missing]), F.lit(MISSING)).alias("reason")))
         .when(F.col("infrastructure_error"), verdict("indeterminate", "infrastructure_error"))
         .when(F.col("tests_total") == 0, verdict("indeterminate", "no_tests_executed"))
         .when(right, verdict("correct"))
@@ -23,11 +27,16 @@ def correctness() -> Column:
     )
 
 
-def assess(evals: DataFrame) -> DataFrame:
-    """evals with correctness, indeterminate_reason, pass_rate, score, all_tests_passed, code_sha256, code_lines and code_chars."""
+def assess(evals: DataFrame, failures: DataFrame | None = None) -> DataFrame:
+    """evals with correctness, indeterminate_reason, pass_rate, score, all_tests_passed, code_sha256, code_lines and code_chars.
+    failures: candidate_id and error_type, the reason of a candidate that has no result."""
+    missing = None
+    if failures is not None:
+        evals = evals.join(failures.groupBy("candidate_id").agg(F.max("error_type").alias("_failure")), "candidate_id", "left")
+        missing = F.col("_failure")
     rate = S.ratio("tests_passed", "tests_total")
     some = F.when(F.col("code") != "", F.col("code"))
-    return evals.withColumn("_v", correctness()).select(
+    return evals.withColumn("_v", correctness(missing)).drop("_failure").select(
         "*", F.col("_v.correctness").alias("correctness"), F.col("_v.reason").alias("indeterminate_reason"), rate.alias("pass_rate"), rate.alias("score"),
         (F.col("_v.correctness") == "correct").alias("all_tests_passed"), S.sha256("code").alias("code_sha256"), S.line_count(some).alias("code_lines"), F.length(some).cast("long").alias("code_chars"),
     ).drop("_v")

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import random
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -33,11 +33,13 @@ def mean_pass_at_k(problems: DataFrame, k: int) -> DataFrame:
 
 
 def percentile_at(values: DataFrame, by: list[str], value: str, percents: list[int]) -> DataFrame:
-    """Nearest-rank percentiles, by a row's number in its group instead of a list of all of them."""
+    """Nearest-rank percentiles, max and mean of each group. Values are counted first, so that what is put in order is the group's
+    distinct values and no longer its rows."""
+    counts = values.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("_k"))
     w = Window.partitionBy(*by)
-    rows = values.where(F.col(value).isNotNull()).select(*by, value, F.row_number().over(w.orderBy(value)).alias("_r"), F.count("*").over(w).alias("_n"))
+    rows = counts.select(*by, value, "_k", F.sum("_k").over(w.orderBy(value)).alias("_upto"), F.sum("_k").over(w).alias("_n"))
     at = lambda p: F.greatest(F.lit(1), F.least(F.col("_n"), F.bround(F.lit(p / 100) * F.col("_n"), 0).cast("long")))
-    return rows.groupBy(*by).agg(*[F.max(F.when(F.col("_r") == at(p), F.col(value))).alias(f"p{p}") for p in percents], F.max(value).alias("max"), F.avg(value).alias("mean"))
+    return rows.groupBy(*by).agg(*[F.min(F.when(F.col("_upto") >= at(p), F.col(value))).alias(f"p{p}") for p in percents], F.max(value).alias("max"), (F.sum(F.col(value) * F.col("_k")) / F.sum("_k")).alias("mean"))
 
 
 def paired(problems: DataFrame) -> DataFrame:
@@ -91,11 +93,25 @@ def bootstrap_draws(spark: SparkSession, n: int, iterations: int = 1000, seed: i
     return dealt.mapInArrow(run, "iteration int, idx int")
 
 
-def bootstrap(values: DataFrame, draws: DataFrame, value: str = "value", level: float = 0.95) -> DataFrame:
-    """lower, upper and mean of the resampled means; values has idx, numbered from 0."""
-    means = draws.join(F.broadcast(values), "idx").groupBy("iteration").agg(F.avg(value).alias("m"))
+def hashed_draws(spark: SparkSession, n: int, iterations: int = 1000, seed: int = 42) -> DataFrame:
+    """iteration and idx of resamples of n problems, by digests of seed, iteration and draw: SQL alone, any part of it anew."""
+    each = spark.range(iterations * n).select((F.col("id") / n).cast("long").alias("iteration"), F.pmod("id", F.lit(max(n, 1))).alias("j"))
+    drawn = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("iteration"), F.col("j"))), 1, 12), 16, 10).cast("long")
+    return each.select(F.col("iteration").cast("int"), F.pmod(drawn, F.lit(max(n, 1))).cast("int").alias("idx"))
+
+
+Statistic = Callable[[Column], Column]
+
+
+def bootstrap(values: DataFrame, draws: DataFrame, value: str = "value", level: float = 0.95, statistic: Statistic = F.avg) -> DataFrame:
+    """point (of values themselves), lower, upper and mean of the resampled statistics; values has idx, numbered from 0. Without
+    values all are 0. The problems, a number and a value each, are broadcast: draws are a thousand times as many."""
+    v = F.col(value)
+    means = draws.join(F.broadcast(values), "idx").groupBy("iteration").agg(statistic(v).alias("m"))
     tail = (1 - level) / 2
-    return means.agg(F.percentile("m", F.lit(tail)).alias("lower"), F.percentile("m", F.lit(1 - tail)).alias("upper"), F.avg("m").alias("mean"))
+    zero = lambda c: F.coalesce(c, F.lit(0.0))
+    out = means.agg(zero(F.percentile("m", F.lit(tail))).alias("lower"), zero(F.percentile("m", F.lit(1 - tail))).alias("upper"), zero(F.avg("m")).alias("mean"))
+    return out.join(F.broadcast(values.agg(zero(statistic(v)).alias("point"))))  # a row beside a row
 
 
 def win_tie_loss(pairs: DataFrame) -> DataFrame:

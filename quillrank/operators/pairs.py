@@ -30,19 +30,22 @@ def all_better(chosen: Column, rejected: Column, margin: Column) -> Column:
 POLICIES: dict[str, Policy] = {"strict": strict, "margin": by_margin(), "all_better": all_better}
 
 
-def decisions(assessed: DataFrame, candidates: DataFrame, policy: Policy = strict, max_pairs: int | None = None, prompts_ok: DataFrame | None = None) -> DataFrame:
+def decisions(assessed: DataFrame, candidates: DataFrame | None = None, policy: Policy = strict, max_pairs: int | None = None, prompts_ok: DataFrame | None = None, more: tuple[str, ...] = ()) -> DataFrame:
     """A row for each two candidates of a problem: with reason null a pair, else a rejection.
 
-    candidates: candidate_id, code and code_sha256 of those whose record is there. prompts_ok: problem_id and lineage_ok; a problem
-    whose prompts don't agree loses all its pairs. max_pairs: the pairs of a problem with the largest margins that stay.
+    candidates: candidate_id and code_sha256 of those whose record is there, and the columns more; None: assessed has these itself.
+    prompts_ok: problem_id and lineage_ok; a problem whose prompts don't agree loses all its pairs. max_pairs: the pairs of a problem
+    with the largest margins that stay. Digests ride along with the candidates, of which there are fewer than pairs; of the columns
+    more, such as a code, a pair has the chosen one's and the rejected one's.
     """
-    pairs = pair_matrix(assessed)
+    if candidates is not None:
+        own = candidates.select(F.col("candidate_id").alias("_id"), F.col("code_sha256").alias("_sha"), *[F.col(c).alias(f"_{c}") for c in more])
+        assessed = assessed.drop("code_sha256", *more).join(own, F.col("candidate_id") == F.col("_id"), "left").withColumnsRenamed({"_sha": "code_sha256"} | {f"_{c}": c for c in more})
+    pairs = pair_matrix(assessed, "code_sha256", *more)
     a_wins = F.col("relation") == "A_BETTER"
     side = lambda name, win: F.when(a_wins if win else ~a_wins, F.col(f"{name}_a")).otherwise(F.col(f"{name}_b"))
-    pairs = pairs.withColumns({"chosen_id": side("candidate_id", True), "rejected_id": side("candidate_id", False), "chosen_correctness": side("correctness", True), "rejected_correctness": side("correctness", False), "chosen_score": side("score", True), "rejected_score": side("score", False)})
-    for role in ("chosen", "rejected"):
-        c = candidates.select(F.col("candidate_id").alias(f"{role}_id"), F.col("code").alias(f"{role}_code"), F.col("code_sha256").alias(f"{role}_sha256"))
-        pairs = pairs.join(c, f"{role}_id", "left")
+    columns = {"id": "candidate_id", "correctness": "correctness", "score": "score", "sha256": "code_sha256"} | {c: c for c in more}
+    pairs = pairs.withColumns({f"{role}_{to}": side(c, win) for to, c in columns.items() for role, win in (("chosen", True), ("rejected", False))})
     if prompts_ok is not None:
         pairs = pairs.join(prompts_ok.select("problem_id", "lineage_ok"), "problem_id", "left")
     else:

@@ -42,8 +42,7 @@ def ranked(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def decided(spark: SparkSession, sf: str, policy: str = "strict", max_pairs: int | None = None) -> DataFrame:
-    a = assessed(spark, sf)
-    return pairs.decisions(a, a.select("candidate_id", "code", "code_sha256"), pairs.POLICIES[policy], max_pairs)
+    return pairs.decisions(assessed(spark, sf), None, pairs.POLICIES[policy], max_pairs)
 
 
 @query("p5_classify_correctness", "SELECT candidate_id, correctness, indeterminate_reason FROM assessed")
@@ -51,12 +50,6 @@ def _(spark, sf):
     return assessed(spark, sf).select("candidate_id", "correctness", "indeterminate_reason")
 
 
-@query("p6_missing_evidence", "SELECT candidate_id, CASE WHEN NOT has_result THEN 'missing_evaluation_result' ELSE 'present' END AS evidence, CASE WHEN has_result THEN NULL ELSE 'indeterminate' END AS correctness FROM evals")
-def _(spark, sf):
-    e = F.when(~F.col("has_result"), F.lit("missing_evaluation_result"))
-    return view(spark, sf, "evals").select("candidate_id", F.coalesce(e, F.lit("present")).alias("evidence"), F.when(e.isNotNull(), "indeterminate").alias("correctness"))
-
-
 @query("p7_assessment_projection", "SELECT candidate_id, problem_id, strategy, score, tests_total, tests_passed, correctness = 'correct' AS all_tests_passed, code_sha256, 2::BIGINT AS code_lines, length(code) AS code_chars FROM assessed")
 def _(spark, sf):
     return assessed(spark, sf).select("candidate_id", "problem_id", "strategy", "score", "tests_total", "tests_passed", "all_tests_passed", "code_sha256", "code_lines", "code_chars")
@@ -168,11 +161,6 @@ def _(spark, sf):
     return ranked(spark, sf).groupBy(F.col("rank").isNull().alias("unranked")).agg(F.count("*").alias("n"), F.count_distinct("problem_id").alias("problems"))
 
 
-@query("w9_rank_breaks", "SELECT problem_id, tie_group FROM ranks WHERE false")
-def _(spark, sf):
-    return ranking.expected_rank_breaks(ranked(spark, sf)).select("problem_id", "tie_group")
-
-
 @query("a3_ranking_statistics", """
 SELECT problem_id, count(*) AS candidates, count(*) FILTER (correctness = 'correct') AS fully_correct, count(*) FILTER (correctness = 'incorrect' AND tests_passed > 0) AS partially_correct,
   count(*) FILTER (correctness <> 'indeterminate' AND tests_passed = 0) AS zero_score, count(*) FILTER (correctness = 'indeterminate') AS indeterminate, count(*) FILTER (tie_group_size > 1) AS tied
@@ -226,38 +214,11 @@ def _(spark, sf):
     return p.agg(F.count("*").alias("pairs"), F.round(F.avg("chosen_score"), 9).alias("mean_chosen"), F.round(F.avg("rejected_score"), 9).alias("mean_rejected"), F.round(F.avg("score_margin"), 9).alias("mean_margin"), F.round(100.0 * F.count_if(F.col("strength") == "strong") / F.count("*"), 9).alias("strong_percent"))
 
 
-@query("a39_constancy_guard", "SELECT problem_id FROM evals WHERE false")
-def _(spark, sf):
-    totals = F.count_distinct(F.when(F.col("tests_total") > 0, F.col("tests_total")))
-    return view(spark, sf, "evals").groupBy("problem_id").agg(totals.alias("n")).where("n > 1").select("problem_id")
-
-
-@query("j10_pairing_both_ways", "SELECT 'only_assessed' AS side, 0::BIGINT AS n UNION ALL SELECT 'only_ranked', 0 UNION ALL SELECT 'both', count(*) FROM ranks")
-def _(spark, sf):
-    a, r = assessed(spark, sf).select("candidate_id", F.lit(1).alias("a")), ranked(spark, sf).select("candidate_id", F.lit(1).alias("r"))
-    both = a.join(r, "candidate_id", "full_outer")
-    n = both.agg(F.count_if(F.col("r").isNull()).alias("only_assessed"), F.count_if(F.col("a").isNull()).alias("only_ranked"), F.count_if(F.col("a").isNotNull() & F.col("r").isNotNull()).alias("both"))
-    return n.selectExpr("stack(3, 'only_assessed', only_assessed, 'only_ranked', only_ranked, 'both', both) AS (side, n)")
-
-
-@query("j9_assessments_recomputed", "SELECT candidate_id FROM evals WHERE false")
-def _(spark, sf):
-    a, e = assessed(spark, sf).select("candidate_id", "score", "correctness"), view(spark, sf, "evals")
-    both = a.join(e, "candidate_id", "left").withColumn("_v", assess.correctness())
-    return both.where((F.abs(F.col("score") - S.ratio("tests_passed", "tests_total")) > S.EPSILON) | ~F.col("_v.correctness").eqNullSafe(F.col("correctness"))).select("candidate_id")
-
-
 @query("j24_ranks_for_display", "SELECT candidate_id, rank, score, strategy FROM ranks")
 def _(spark, sf):
     return ranked(spark, sf).select("candidate_id", "rank").join(assessed(spark, sf).select("candidate_id", "score", "strategy"), "candidate_id")
 
 
-@query("u8_reversed_pairs", "SELECT problem_id, ca AS candidate_a, cb AS candidate_b FROM decided WHERE false")
-def _(spark, sf):
-    p = pairs.accepted(decided(spark, sf)).select("problem_id", F.least("chosen_id", "rejected_id").alias("candidate_a"), F.greatest("chosen_id", "rejected_id").alias("candidate_b"), (F.col("chosen_id") < F.col("rejected_id")).alias("d"))
-    return p.groupBy("problem_id", "candidate_a", "candidate_b").agg(F.count_distinct("d").alias("n")).where("n > 1").drop("n")
-
-
 @query("u9_duplicate_keys", "SELECT o_custkey, count(*) AS n FROM orders GROUP BY o_custkey HAVING count(*) > 1")
 def _(spark, sf):
     from quillrank.sources.adapters import table
@@ -265,46 +226,6 @@ def _(spark, sf):
     return table(spark, sf, "orders").groupBy("o_custkey").agg(F.count("*").alias("n")).where("n > 1")
 
 
-@query("v2_ranking_invariants", "SELECT 'counts' AS check_name, 0::BIGINT AS violations UNION ALL SELECT 'rank_null', 0 UNION ALL SELECT 'rate', 0 UNION ALL SELECT 'tied', 0")
-def _(spark, sf):
-    known = F.col("correctness") != "indeterminate"
-    bad = {"counts": F.col("tests_passed") + F.col("tests_failed") + F.col("tests_error") + F.col("tests_skipped") != F.col("tests_total"), "rank_null": known != F.col("rank").isNotNull(), "rate": F.abs(F.col("score") - F.col("pass_rate")) > S.EPSILON, "tied": F.col("tied") != F.coalesce(F.col("tie_group_size") > 1, F.lit(False))}
-    n = ranked(spark, sf).agg(*[F.count_if(c).alias(k) for k, c in bad.items()])
-    return n.selectExpr("stack(4, " + ", ".join(f"'{k}', {k}" for k in bad) + ") AS (check_name, violations)")
-
-
-@query("v3_preference_invariants", "SELECT 'both_or_neither' AS check_name, 0::BIGINT AS violations UNION ALL SELECT 'not_better', 0 UNION ALL SELECT 'same_code', 0 UNION ALL SELECT 'foreign_id', 0")
-def _(spark, sf):
-    d = decided(spark, sf)
-    p = F.col("reason").isNull()
-    own = lambda c: F.col(c).startswith(F.concat("problem_id", F.lit("_c")))
-    bad = {"both_or_neither": F.lit(False), "not_better": p & (F.col("chosen_score") <= F.col("rejected_score")), "same_code": p & (F.col("chosen_sha256") == F.col("rejected_sha256")), "foreign_id": p & ~(own("chosen_id") & own("rejected_id"))}
-    n = d.agg(*[F.count_if(c).alias(k) for k, c in bad.items()])
-    return n.selectExpr("stack(4, " + ", ".join(f"'{k}', {k}" for k in bad) + ") AS (check_name, violations)")
-
-
-@query("v4_statistics_recomputed", "SELECT reason FROM decided WHERE false")
-def _(spark, sf):
-    kept = pairs.rejected(decided(spark, sf)).groupBy("reason").count()
-    again = pairs.rejected(decided(spark, sf)).select("reason").groupBy("reason").agg(F.count("*").alias("count"))
-    return kept.exceptAll(again).unionByName(again.exceptAll(kept)).select("reason")
-
-
-@query("j7_pairs_against_ranks", "SELECT preference_id FROM decided WHERE false")
-def _(spark, sf):
-    r = ranked(spark, sf).select("candidate_id", "rank")
-    p = pairs.accepted(decided(spark, sf))
-    both = p.join(r.select(F.col("candidate_id").alias("chosen_id"), F.col("rank").alias("rc")), "chosen_id", "left").join(r.select(F.col("candidate_id").alias("rejected_id"), F.col("rank").alias("rr")), "rejected_id", "left")
-    return both.where("rc is null or rr is null or rc >= rr").select("preference_id")
-
-
-@query("j8_pair_provenance", "SELECT r AS role, count(*) AS n, 0::BIGINT AS missing FROM (SELECT unnest(['chosen', 'rejected']) AS r FROM decided WHERE reason IS NULL) GROUP BY r")
-def _(spark, sf):
-    p = pairs.accepted(decided(spark, sf)).selectExpr("stack(2, 'chosen', chosen_id, 'rejected', rejected_id) AS (role, candidate_id)")
-    c = view(spark, sf, "evals").select("candidate_id", F.lit(1).alias("there"))
-    return p.join(c, "candidate_id", "left").groupBy("role").agg(F.count("*").alias("n"), F.count_if(F.col("there").isNull()).alias("missing"))
-
-
 @query("p28_status_transitions", "SELECT upstream_id, run_id, f AS from_status, status AS to_status FROM (SELECT *, lag(status) OVER (PARTITION BY upstream_id ORDER BY created_at, run_id) AS f FROM runs) WHERE f IS NOT NULL AND (f, status) NOT IN (('running', 'running'), ('running', 'completed'), ('running', 'failed'), ('failed', 'running'))")
 def _(spark, sf):
     w = Window.partitionBy("upstream_id").orderBy("created_at", "run_id")

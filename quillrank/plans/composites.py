@@ -6,14 +6,13 @@ import json
 import tempfile
 from pathlib import Path
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from quillrank.functions import scalars as S
 from quillrank.operators import analysis, assess, metrics, pairs, ranking
-from quillrank.plans import candidates, graph, models, records
+from quillrank.plans import candidates, models
 from quillrank.plans.registry import query
-from quillrank.sources import config, jsonl, scratch
+from quillrank.sources import jsonl, scratch
 from quillrank.sources.adapters import table, view
 
 
@@ -51,17 +50,6 @@ def _(spark, sf):
     return back.join(twice, "problem_id", "left_anti")
 
 
-@query("s11_constant_catalog", "SELECT * FROM (VALUES ('p001', 'easy'), ('p002', 'hard')) c(problem_id, difficulty)")
-def _(spark, sf):
-    return spark.sql("SELECT * FROM VALUES ('p001', 'easy'), ('p002', 'hard') AS c(problem_id, difficulty)")
-
-
-@query("s13_layered_config", "SELECT 'ranking.margin' AS key, '0.3' AS value UNION ALL SELECT 'ranking.policy', 'strict' UNION ALL SELECT 'smoke', 'true'")
-def _(spark, sf):
-    layers = config.overridden({"ranking": {"margin": 0.2, "policy": "strict"}, "smoke": False}, ["ranking.margin=0.3", "smoke=true"])
-    return spark.createDataFrame([(k, json.dumps(v) if not isinstance(v, str) else v) for k, v in config.flat(layers).items()], "key string, value string")
-
-
 @query("s14_split_file", "SELECT count(*) AS rows, count(*) FILTER (trim(text) = '') AS blank FROM turns WHERE role = 'assistant'")
 def _(spark, sf):
     t = view(spark, sf, "turns").where("role = 'assistant'")
@@ -82,102 +70,33 @@ def _(spark, sf):
 def _(spark, sf):
     a = candidates.assessed(spark, sf)
     known = view(spark, sf, "evals").where("generation_index = 3").select("problem_id", F.lit(True).alias("lineage_ok"))
-    d = pairs.decisions(a, a.select("candidate_id", "code", "code_sha256"), pairs.strict, prompts_ok=known)
+    d = pairs.decisions(a, policy=pairs.strict, prompts_ok=known)
     return d.groupBy("reason").agg(F.count("*").alias("n"))
 
 
-@query("o7_problem_order", "SELECT problem_id, row_number() OVER (ORDER BY problem_id) AS position FROM problems")
-def _(spark, sf):
-    return view(spark, sf, "problems").select("problem_id", F.row_number().over(Window.orderBy("problem_id")).cast("long").alias("position"))
-
-
-@query("o9_pair_table", "SELECT preference_id, strength FROM decided WHERE reason IS NULL ORDER BY preference_id LIMIT 50")
-def _(spark, sf):
-    return pairs.accepted(candidates.decided(spark, sf)).select("preference_id", "strength").orderBy("preference_id").limit(50)
-
-
-@query("o9_pair_table_whole", "SELECT preference_id, strength FROM decided WHERE reason IS NULL ORDER BY preference_id")
-def _(spark, sf):
-    return pairs.accepted(candidates.decided(spark, sf)).select("preference_id", "strength").orderBy("preference_id")
-
-
 @query("f15_sample_seed", "SELECT DISTINCT problem_id, sample_index, (42 + substr(problem_id, 2)::BIGINT * 1000 + sample_index)::BIGINT AS seed FROM model_evals")
 def _(spark, sf):
     ordinal = F.substring("problem_id", 2, 20).cast("long")
     return view(spark, sf, "model_evals").select("problem_id", "sample_index", (42 + ordinal * 1000 + F.col("sample_index")).alias("seed")).distinct()
 
 
-@query("f19_dataset_hash", "SELECT sha256('[' || string_agg('\"' || problem_id || '\"', ', ' ORDER BY problem_id) || ']') AS dataset_hash FROM problems WHERE ordinal <= 50")
-def _(spark, sf):
-    ids = [r[0] for r in view(spark, sf, "problems").where("ordinal <= 50").select("problem_id").orderBy("problem_id").limit(1000).collect()]
-    return spark.createDataFrame([(config.digest(json.dumps(ids)),)], "dataset_hash string")
-
-
-def dataset_hash(problems):
-    """The digest of the JSON list of all ids, sorted."""
-    ids = F.transform(F.array_sort(F.collect_list("problem_id")), lambda x: F.concat(F.lit('"'), x, F.lit('"')))
-    return problems.agg(S.sha256(F.concat(F.lit("["), F.array_join(ids, ", "), F.lit("]"))).alias("dataset_hash"))
-
-
-@query("f19_dataset_hash_whole", "SELECT sha256('[' || string_agg('\"' || problem_id || '\"', ', ' ORDER BY problem_id) || ']') AS dataset_hash FROM problems")
-def _(spark, sf):
-    return dataset_hash(view(spark, sf, "problems"))
-
-
 def leaked(training, benchmark):
     """How many problems of the training rows are the benchmark's."""
     return training.select("problem_id").distinct().join(benchmark.select("problem_id"), "problem_id", "left_semi").agg(F.count("*").alias("leaked"))
 
 
-@query("j21_leakage_guard_whole", "SELECT count(DISTINCT problem_id) AS leaked FROM decided WHERE reason IS NULL AND problem_id IN (SELECT problem_id FROM problems WHERE ordinal % 7 = 0)")
-def _(spark, sf):
-    return leaked(pairs.accepted(candidates.decided(spark, sf)), view(spark, sf, "problems").where("ordinal % 7 = 0"))
-
-
-@query("f21_cache_key", "SELECT sha256('{\"config\":{\"margin\":0.2},\"inputs\":[\"a\",\"b\"],\"stage\":\"ranking\"}') AS cache_key")
-def _(spark, sf):
-    return spark.createDataFrame([(config.cache_key("ranking", ["b", "a"], {"margin": 0.2}),)], "cache_key string")
-
-
-@query("f23_run_id", "SELECT true AS well_formed")
-def _(spark, sf):
-    return spark.createDataFrame([(config.run_id("eval"),)], "r string").select(F.col("r").rlike(r"^eval_\d{8}_\d{6}_[0-9a-f]{4}$").alias("well_formed"))
-
-
 @query("f31_markdown", "SELECT '| ' || status || ' | ' || count(*) || ' |' AS line FROM runs GROUP BY status")
 def _(spark, sf):
     n = view(spark, sf, "runs").groupBy("status").agg(F.count("*").alias("n"))
     return n.select(F.format_string("| %s | %d |", "status", "n").alias("line"))
 
 
-@query("d2_ratio_validation", "SELECT * FROM (VALUES ('good', true), ('sum', false), ('keys', false)) r(name, valid)")
-def _(spark, sf):
-    cases = {"good": {"train": 0.8, "validation": 0.1, "test": 0.1}, "sum": {"train": 0.8, "validation": 0.1, "test": 0.2}, "keys": {"train": 1.0}}
-    return spark.createDataFrame([(k, config.valid_ratios(v)) for k, v in cases.items()], "name string, valid boolean")
-
-
 @query("d7_training_dataset", "SELECT count(*) AS pairs, count(*) < 500 AS small, count(DISTINCT problem_id) AS problems, round(avg(score_margin), 9) AS mean_margin FROM decided WHERE reason IS NULL")
 def _(spark, sf):
     p = pairs.accepted(candidates.decided(spark, sf))
     return p.agg(F.count("*").alias("pairs"), (F.count("*") < 500).alias("small"), F.count_distinct("problem_id").alias("problems"), F.round(F.avg("score_margin"), 9).alias("mean_margin"))
 
 
-@query("d9_checkpoint_compatibility", "SELECT * FROM (VALUES ('model', true), ('lora.r', false)) c(path, same)")
-def _(spark, sf):
-    a, b = {"model": "m", "lora": {"r": 8}}, {"model": "m", "lora": {"r": 16}}
-    return spark.createDataFrame([(p, config.dig(a, p) == config.dig(b, p)) for p in ("model", "lora.r")], "path string, same boolean")
-
-
-@query("v7_preflight", "SELECT 'tables' AS check_name, true AS ok")
-def _(spark, sf):
-    return spark.createDataFrame([("tables", all(table(spark, sf, t).columns for t in ("lineitem", "orders", "part")))], "check_name string, ok boolean")
-
-
-@query("g5_reusable", "SELECT run_id, status = 'completed' AND stage = '1-URGENT' AS reusable FROM runs")
-def _(spark, sf):
-    return view(spark, sf, "runs").select("run_id", ((F.col("status") == "completed") & (F.col("stage") == "1-URGENT")).alias("reusable"))
-
-
 @query("g8_evaluation_work_list", "SELECT problem_id, v AS model_variant, s::BIGINT AS sample_index FROM (SELECT DISTINCT problem_id FROM model_evals), (SELECT unnest(['base', 'dpo']) AS v), (SELECT unnest(range(0, 12)) AS s) EXCEPT SELECT problem_id, model_variant, sample_index FROM model_evals")
 def _(spark, sf):
     e = view(spark, sf, "model_evals").select("problem_id", "model_variant", "sample_index")
@@ -250,34 +169,6 @@ def _(spark, sf):
     return models.classified(spark, sf).groupBy("model_variant").agg(F.round(S.ratio(F.count_if(k == "timeout"), F.count_if(k != "infrastructure_error")), 9).alias("timeout_rate"))
 
 
-@query("c14_interval_width", "SELECT round(0.0429 - 0.0, 9)::DOUBLE AS width")
-def _(spark, sf):
-    ci = spark.createDataFrame([('{"lower": 0.0, "upper": 0.0429}',)], "j string").select(F.from_json("j", "lower double, upper double").alias("c"))
-    return ci.select(F.round(F.col("c.upper") - F.col("c.lower"), 9).alias("width"))
-
-
-@query("c17_comparison_document", "SELECT '{\"runs\":' || count(*) || ',\"stages\":' || count(DISTINCT stage) || '}' AS document FROM runs")
-def _(spark, sf):
-    return view(spark, sf, "runs").agg(F.to_json(F.struct(F.count("*").alias("runs"), F.count_distinct("stage").alias("stages"))).alias("document"))
-
-
-@query("c19_promotion", "SELECT * FROM (VALUES ('EXPERIMENTAL', 'VALIDATED', true), ('EXPERIMENTAL', 'RECOMMENDED', false)) e(from_status, to_status, allowed)")
-def _(spark, sf):
-    return spark.createDataFrame([(a, b, config.may_promote(a, b)) for a, b in (("EXPERIMENTAL", "VALIDATED"), ("EXPERIMENTAL", "RECOMMENDED"))], "from_status string, to_status string, allowed boolean")
-
-
-@query("c20_prompt_pairing", "SELECT problem_id FROM problems WHERE false")
-def _(spark, sf):
-    p = view(spark, sf, "problems").withColumn("stored", S.sha256("prompt"))
-    return p.where(S.sha256("prompt") != F.col("stored")).select("problem_id")
-
-
-@query("c21_tie_group_guards", "SELECT tie_group FROM ranks WHERE false")
-def _(spark, sf):
-    g = candidates.ranked(spark, sf).where("tie_group is not null").groupBy("tie_group").agg(F.count_distinct("rank").alias("r"), F.count_distinct("score").alias("s"), F.count("*").alias("n"), F.max("tie_group_size").alias("m"))
-    return g.where("r <> 1 or s <> 1 or n <> m").select("tie_group")
-
-
 @query("c23_problem_checks", "SELECT problem_id FROM problems WHERE trim(prompt) = '' OR difficulty NOT IN ('easy', 'medium', 'hard')")
 def _(spark, sf):
     return view(spark, sf, "problems").where((S.stripped("prompt") == "") | ~F.col("difficulty").isin("easy", "medium", "hard")).select("problem_id")
@@ -291,8 +182,3 @@ def _(spark, sf):
 @query("c27_table_facade", "SELECT count(*) AS n FROM runs WHERE status = 'completed'")
 def _(spark, sf):
     return view(spark, sf, "runs").where("status = 'completed'").agg(F.count("*").alias("n"))
-
-
-@query("f22_stage_report", "SELECT 9::BIGINT AS stages")
-def _(spark, sf):
-    return spark.createDataFrame([(len(graph.topological(records.STAGES)),)], "stages long")

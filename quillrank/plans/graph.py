@@ -5,6 +5,20 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 
+def problems(stages: Mapping[str, Sequence[str]]) -> list[tuple[str, str]]:
+    """What is wrong with a graph: needs that are unknown, and the stages of its cycles."""
+    out = [("unknown", f"{name} needs {need}") for name, needs in stages.items() for need in needs if need not in stages]
+    left = {name: {n for n in needs if n in stages} for name, needs in stages.items()}
+    while ready := [s for s, needs in left.items() if not needs & left.keys()]:
+        for s in ready:
+            del left[s]
+    # a stage that only waits for a cycle isn't part of it
+    while ends := [s for s in left if not any(s in needs for needs in left.values())]:
+        for s in ends:
+            del left[s]
+    return out + ([("cycle", ", ".join(sorted(left)))] if left else [])
+
+
 def topological(stages: Mapping[str, Sequence[str]]) -> list[str]:
     """Stages after what they need, otherwise in their own order; a missing stage or a cycle is an error."""
     for name, needs in stages.items():

@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import random
-
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from quillrank.functions import scalars as S
-from quillrank.operators import analysis, assess, metrics
+from quillrank.operators import analysis, assess, metrics, order
 from quillrank.plans.registry import part, query
 from quillrank.sources.adapters import table, view
 
@@ -90,12 +88,6 @@ def _(spark, sf):
     return view(spark, sf, "turns").groupBy("role").agg(F.count("*").alias("n"), F.round(F.avg(n), 9).alias("mean_chars"), F.max(n).alias("max_chars"))
 
 
-@query("a9_lengths", "SELECT count(*) AS n, count(*) FILTER (t > 200) AS truncated, sum(greatest(t - 200, 0))::BIGINT AS overflow FROM (SELECT len(regexp_extract_all(text, '[^ \\t\\n\\r]+')) AS t FROM turns)")
-def _(spark, sf):
-    t = view(spark, sf, "turns").select(F.size(F.regexp_extract_all("text", F.lit(r"[^ \t\n\r]+"), F.lit(0))).cast("long").alias("t"))
-    return t.agg(F.count("*").alias("n"), F.count_if(F.col("t") > 200).alias("truncated"), F.sum(F.greatest(F.col("t") - 200, F.lit(0))).alias("overflow"))
-
-
 _RANK = "max(v) FILTER (r = greatest(1, least(n, round_even({p} * n / 100.0, 0)::BIGINT))) AS p{p}"
 
 
@@ -261,35 +253,28 @@ def _(spark, sf):
     return metrics.mcnemar(metrics.paired(problems(spark, sf))).withColumn("p_value", F.round("p_value", 6))
 
 
-_POINTS = 40
-
-
-def _draw_values() -> str:
-    rng = random.Random(42)
-    return ", ".join(f"({i}, {rng.randrange(_POINTS)})" for i in range(200) for _ in range(_POINTS))
-
-
-def _numbered(spark, sf, value):
-    return _indexed(metrics.paired(problems(spark, sf)).orderBy("problem_id").limit(_POINTS), value)
-
-
 def _indexed(p, value):
-    return p.select((F.row_number().over(Window.orderBy("problem_id")) - 1).alias("idx"), F.expr(value).alias("value"))
+    """idx, from 0 in the order of problems, and value."""
+    return order.numbered(p.select("problem_id", F.expr(value).alias("value")), "problem_id", name="idx", first=0).select(F.col("idx").cast("int").alias("idx"), "value")
 
 
-_INDEXED = "SELECT row_number() OVER (ORDER BY problem_id) - 1 AS idx, * FROM (SELECT * FROM paired ORDER BY problem_id LIMIT 40)"
+#: Of hashed_draws(), as SQL: the draws of 1000 resamples of n problems.
+_DRAWS = "SELECT i AS iteration, (('0x' || substr(md5('42:' || i || ':' || j), 1, 12))::BIGINT % n) AS idx FROM (SELECT count(*) AS n FROM paired), (SELECT unnest(range(0, 1000)) AS i), (SELECT idx AS j FROM values_)"
 for _name, _value, _sql in (("a34_bootstrap", "dpo_c / dpo_n", "dc::DOUBLE / dn"), ("a35_paired_bootstrap", "dpo_c / dpo_n - base_c / base_n", "dc::DOUBLE / dn - bc::DOUBLE / bn")):
 
-    @query(_name, f"SELECT round(quantile_cont(m, 0.025), 9) AS lower, round(quantile_cont(m, 0.975), 9) AS upper, round(avg(m), 9) AS mean FROM (SELECT iteration, avg(value) AS m FROM (VALUES {_draw_values()}) d(iteration, idx) JOIN (SELECT idx, {_sql} AS value FROM ({_INDEXED})) USING (idx) GROUP BY iteration)")
-    def _(spark, sf, value=_value):
-        out = metrics.bootstrap(_numbered(spark, sf, value), metrics.bootstrap_draws(spark, _POINTS, 200))
-        return out.select(*[F.round(c, 9).alias(c) for c in ("lower", "upper", "mean")])
-
-    @query(_name + "_whole")  # of all paired problems and 1000 resamples; too many draws for SQL
+    @query(_name)  # of all paired problems, 1000 resamples of random.Random(42), which SQL has not
     def _(spark, sf, value=_value):
         values = _indexed(metrics.paired(problems(spark, sf)), value)
         out = metrics.bootstrap(values, metrics.bootstrap_draws(spark, values.count()))
-        return out.select(*[F.round(c, 9).alias(c) for c in ("lower", "upper", "mean")])
+        return out.select(*[F.round(c, 9).alias(c) for c in ("point", "lower", "upper", "mean")])
+
+    for _statistic, _of, _agg in (("mean", F.avg, "avg"), ("median", F.median, "median")):
+
+        @query(f"{_name}_hashed_{_statistic}", f"WITH values_ AS (SELECT row_number() OVER (ORDER BY problem_id) - 1 AS idx, {_sql} AS value FROM paired), draws_ AS ({_DRAWS}) SELECT (SELECT round({_agg}(value), 9) FROM values_) AS point, round(quantile_cont(m, 0.025), 9) AS lower, round(quantile_cont(m, 0.975), 9) AS upper, round(avg(m), 9) AS mean FROM (SELECT iteration, {_agg}(value) AS m FROM draws_ JOIN values_ USING (idx) GROUP BY iteration)")
+        def _(spark, sf, value=_value, of=_of):
+            values = _indexed(metrics.paired(problems(spark, sf)), value)
+            out = metrics.bootstrap(values, metrics.hashed_draws(spark, values.count()), statistic=of)
+            return out.select(*[F.round(c, 9).alias(c) for c in ("point", "lower", "upper", "mean")])
 
 
 @query("a36_linear_percentile", "SELECT model_variant, round(quantile_cont(duration_ms, 0.025), 9) AS low, round(quantile_cont(duration_ms, 0.975), 9) AS high FROM model_evals GROUP BY model_variant")
@@ -316,19 +301,6 @@ def _(spark, sf):
     return o.join(c, "k").select(F.when(F.col("n") < 30, "insufficient_evidence").when(F.col("r") > F.col("i"), "adjust_training").when(F.col("u") > 0, "refine_data").when(F.col("m") > 0, "expand_benchmark").otherwise("accept_model").alias("decision"))
 
 
-@query("d11_recommendations", "SELECT category, round(0.5 * i + 0.3 * s + 0.2 * (1 - c), 6)::DOUBLE AS score FROM (SELECT 'add_data' AS category, 0.3 AS i, 0.4 AS s, 0.6 AS c WHERE EXISTS (SELECT 1 FROM brand_shares WHERE bs > 0 AND ts / bs < 0.5) UNION ALL SELECT 'expand_benchmark', 0.6, 0.9, 0.5 WHERE EXISTS (SELECT 1 FROM brand_shares WHERE bs = 0 AND ts > 0) UNION ALL SELECT 'investigate_regression', 0.7, 0.8, 0.3 FROM outcomes HAVING count(*) FILTER (kind LIKE '%regression') > count(*) FILTER (kind LIKE '%improvement'))")
-def recommendations(spark, sf):
-    o = outcomes(spark, sf).agg((F.count_if(F.col("outcome").endswith("regression")) > F.count_if(F.col("outcome").endswith("improvement"))).alias("on"))
-    c = coverage(spark, sf)
-    some = lambda v: c.agg((F.count_if(F.col("verdict") == v) > 0).alias("on"))
-    rules = ((some("underrepresented"), "add_data", 0.3, 0.4, 0.6), (some("not_in_benchmark"), "expand_benchmark", 0.6, 0.9, 0.5), (o, "investigate_regression", 0.7, 0.8, 0.3))
-    out = None
-    for df, name, impact, strength, cost in rules:
-        row = df.where("on").select(F.lit(name).alias("category"), analysis.score(F.lit(impact), F.lit(strength), F.lit(cost)).alias("score"))
-        out = row if out is None else out.unionByName(row)
-    return out
-
-
 @query("o5_top_recommendations", "SELECT category, n FROM (SELECT category, count(*) AS n FROM problems GROUP BY category) ORDER BY -n, category LIMIT 10")
 def _(spark, sf):
     return view(spark, sf, "problems").groupBy("category").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "category").limit(10)
@@ -346,27 +318,12 @@ def _(spark, sf):
     return side("base").join(side("dpo"), "problem_id", "full_outer").na.fill(0.0)
 
 
-@query("j28_pairing_check", "SELECT coalesce(b.problem_id, d.problem_id) AS problem_id, coalesce(b.sample_index, d.sample_index) AS sample_index FROM (SELECT * FROM model_evals WHERE model_variant = 'base') b FULL JOIN (SELECT * FROM model_evals WHERE model_variant = 'dpo') d ON b.problem_id = d.problem_id AND b.sample_index = d.sample_index WHERE b.code IS DISTINCT FROM d.code")
-def _(spark, sf):
-    e = evals(spark, sf)
-    side = lambda v: e.where(F.col("model_variant") == v).select("problem_id", "sample_index", F.col("code").alias(v))
-    both = side("base").join(side("dpo"), ["problem_id", "sample_index"], "full_outer")
-    return both.where(~F.col("base").eqNullSafe(F.col("dpo"))).select("problem_id", "sample_index")
-
-
 @query("w8_first_sample", "SELECT model_variant, problem_id, candidate_id, status FROM model_evals WHERE sample_index = 0")
 def _(spark, sf):
     first = evals(spark, sf).groupBy("model_variant", "problem_id").agg(F.min_by(F.struct("candidate_id", "status"), "sample_index").alias("f"))
     return first.select("model_variant", "problem_id", "f.*")
 
 
-@query("w10_problem_seeds", "SELECT DISTINCT problem_id, sample_index, 42 + (dense_rank() OVER (ORDER BY problem_id) - 1) * 1000 + sample_index AS seed FROM model_evals WHERE model_variant = 'base'")
-def _(spark, sf):
-    e = evals(spark, sf).where("model_variant = 'base'").select("problem_id", "sample_index")
-    ordinal = e.select("problem_id").distinct().withColumn("o", F.row_number().over(Window.orderBy("problem_id")) - 1)
-    return e.join(ordinal, "problem_id").select("problem_id", "sample_index", (42 + F.col("o") * 1000 + F.col("sample_index")).cast("long").alias("seed"))
-
-
 @query("u3_common_coverage", "SELECT problem_id FROM per_problem WHERE model_variant = 'base' INTERSECT SELECT problem_id FROM per_problem WHERE model_variant = 'dpo'")
 def _(spark, sf):
     p = problems(spark, sf)
@@ -405,9 +362,3 @@ def _(spark, sf):
     e = evals(spark, sf)
     t = e.where("status = 'timeout'").select("model_variant", "problem_id", "candidate_id", (S.candidate_ordinal("candidate_id") - 1).alias("sample_index"))
     return e.select("model_variant", "problem_id", "sample_index").join(t, ["model_variant", "problem_id", "sample_index"])
-
-
-@query("c16_wide_metrics", "SELECT round(max(s) FILTER (model_variant = 'base'), 9) AS base_solved, round(max(s) FILTER (model_variant = 'dpo'), 9) AS dpo_solved FROM (SELECT model_variant, avg(solved::INT) AS s FROM per_problem GROUP BY ALL)")
-def _(spark, sf):
-    p = problems(spark, sf).groupBy().pivot("model_variant", ["base", "dpo"]).agg(F.round(F.avg(F.col("solved").cast("int")), 9))
-    return p.select(F.col("base").alias("base_solved"), F.col("dpo").alias("dpo_solved"))

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillrank.functions import scalars as S
+from quillrank.operators import order
 from quillrank.plans.registry import query
 from quillrank.sources import scratch
 from quillrank.sources.adapters import table, view
@@ -41,13 +42,6 @@ def _(spark, sf):
     return view(spark, sf, "evals").select("candidate_id", (S.candidate_ordinal("candidate_id") - 1).alias("sample_index"))
 
 
-@query("f6_extract_code", "SELECT candidate_id, code AS extracted, 'python_fence' AS format FROM evals WHERE generation_index % 3 = 0 UNION ALL SELECT candidate_id, code, 'generic_fence' FROM evals WHERE generation_index % 3 = 1 UNION ALL SELECT candidate_id, code, 'bare' FROM evals WHERE generation_index % 3 = 2")
-def _(spark, sf):
-    e = view(spark, sf, "evals")
-    raw = F.when(F.col("generation_index") % 3 == 0, F.concat(F.lit("Sure:\n```text\nno\n```\n```python\n"), "code", F.lit("\n```\nDone"))).when(F.col("generation_index") % 3 == 1, F.concat(F.lit("Here\n```\n"), "code", F.lit("\n```"))).otherwise(F.concat(F.lit("\n"), "code", F.lit("  \n")))
-    return e.select("candidate_id", S.extracted_code(raw).alias("x")).select("candidate_id", F.col("x.code").alias("extracted"), F.col("x.format").alias("format"))
-
-
 @query("f7_looks_like_code", "SELECT candidate_id, regexp_matches(code, '(?m)^[ \\t]*(?:async[ \\t]+def|def|class|import|from)[ \\t]') AS is_code FROM candidates")
 def _(spark, sf):
     return view(spark, sf, "candidates").select("candidate_id", S.looks_like_code("code").alias("is_code"))
@@ -85,11 +79,6 @@ def _(spark, sf):
     return view(spark, sf, "evals").select("candidate_id", S.line_count("code").alias("lines"), F.length("code").cast("long").alias("chars"))
 
 
-@query("f17_canonical_json", "SELECT n_nationkey, sha256('{\"name\":\"' || n_name || '\",\"region\":' || n_regionkey || '}') AS digest FROM nation")
-def _(spark, sf):
-    return table(spark, sf, "nation").select("n_nationkey", S.sha256(F.to_json(F.struct(F.col("n_name").alias("name"), F.col("n_regionkey").alias("region")))).alias("digest"))
-
-
 @query("f18_tree_digest", "SELECT problem_id, sha256(string_agg(candidate_id || chr(0) || sha256(code) || chr(10), '' ORDER BY candidate_id)) AS digest FROM evals GROUP BY problem_id")
 def _(spark, sf):
     line = F.concat("candidate_id", F.lit("\0"), S.sha256("code"), F.lit("\n"))
@@ -202,16 +191,6 @@ def _(spark, sf):
     return c.groupBy("c_nationkey").agg(F.max_by("path", F.regexp_extract("path", r"-(\d+)$", 1).cast("long")).alias("path"))
 
 
-@query("o2_newest_runs", "SELECT run_id, created_at FROM runs ORDER BY created_at DESC, run_id DESC LIMIT 20")
-def _(spark, sf):
-    return view(spark, sf, "runs").select("run_id", "created_at").orderBy(F.desc("created_at"), F.desc("run_id")).limit(20)
-
-
-@query("o2_newest_runs_whole", "SELECT run_id, created_at FROM runs ORDER BY created_at DESC, run_id DESC")
-def _(spark, sf):
-    return view(spark, sf, "runs").select("run_id", "created_at").orderBy(F.desc("created_at"), F.desc("run_id"))
-
-
 @query("o3_first_problems", "SELECT problem_id, prompt FROM problems ORDER BY problem_id LIMIT 25")
 def _(spark, sf):
     return view(spark, sf, "problems").select("problem_id", "prompt").orderBy("problem_id").limit(25)
@@ -256,14 +235,6 @@ def missing(spark, sf):
     return grid.join(e, ["problem_id", "generation_index"], "left_anti")
 
 
-@query("j18_duplicate_reference", "SELECT candidate_id FROM candidates WHERE false")
-def _(spark, sf):
-    c = view(spark, sf, "candidates").select("candidate_id", S.sha256("code").alias("h"))
-    d = duplicate_of(spark, sf).where("duplicate_of is not null").join(c, "candidate_id")
-    first = c.select(F.col("candidate_id").alias("duplicate_of"), F.col("h").alias("h2"))
-    return d.join(first, "duplicate_of", "left").where("h2 is null or h <> h2").select("candidate_id")
-
-
 @query("j19_prompt_existence", "SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
 def _(spark, sf):
     return table(spark, sf, "documents").select("doc_id").join(table(spark, sf, "labels").select("doc_id"), "doc_id", "left_anti")
@@ -274,12 +245,6 @@ def _(spark, sf):
     return table(spark, sf, "documents").select("doc_id").join(table(spark, sf, "labels").where("quality = 0").select("doc_id"), "doc_id", "left_semi").distinct()
 
 
-@query("j21_leakage_guard", "SELECT count(*) AS leaked FROM (SELECT problem_id FROM problems WHERE ordinal % 7 = 0 INTERSECT SELECT problem_id FROM problems WHERE ordinal % 7 = 1)")
-def _(spark, sf):
-    p = view(spark, sf, "problems")
-    return p.where("ordinal % 7 = 0").select("problem_id").join(p.where("ordinal % 7 = 1").select("problem_id"), "problem_id", "left_semi").agg(F.count("*").alias("leaked"))
-
-
 @query("j22_lineage", "SELECT o_orderkey, c_custkey, n_nationkey, r_regionkey FROM orders LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN nation ON c_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey")
 def _(spark, sf):
     t = lambda n: table(spark, sf, n)
@@ -314,15 +279,14 @@ def split_of(n: int, seed: int = 42, ratios: tuple[float, float] = (0.8, 0.1)) -
     return out
 
 
-def splits(spark, sf, key: str = "problem_id") -> DataFrame:
-    """The split of each distinct key of the problems, as a table that is written. The shuffle is the driver's random numbers, over
-    places in the sorted pool; the ids don't come to the driver."""
-    pool = view(spark, sf, "problems").select(key).distinct()
-    pool = pool.select(key, (F.row_number().over(Window.orderBy(key)) - 1).alias("place"))
+def splits(spark, sf) -> DataFrame:
+    """The split of each distinct problem id, as a table that is written. The shuffle is the driver's random numbers, over places in
+    the sorted pool; the ids don't come to the driver."""
+    pool = order.numbered(view(spark, sf, "problems").select("problem_id").distinct(), "problem_id", name="place", first=0)
     of = split_of(pool.count())
-    places = spark.createDataFrame(pa.table({"place": pa.array(range(len(of)), pa.int32()), "split": pa.array(of, pa.string())}))
-    pool.join(places, "place").select(key, "split").write.parquet(path := scratch.folder(spark, "d1"))
-    return spark.read.schema(f"{key} string, split string").parquet(path)
+    places = spark.createDataFrame(pa.table({"place": pa.array(range(len(of)), pa.int64()), "split": pa.array(of, pa.string())}))
+    pool.join(places, "place").select("problem_id", "split").write.parquet(path := scratch.folder(spark, "d1"))
+    return spark.read.schema("problem_id string, split string").parquet(path)
 
 
 def overlapping(split: DataFrame) -> DataFrame:
@@ -330,50 +294,17 @@ def overlapping(split: DataFrame) -> DataFrame:
     return split.groupBy("problem_id").agg(F.count_distinct("split").alias("n")).where("n > 1").select("problem_id")
 
 
-@query("d1_problem_split")
-def _(spark, sf):
-    return splits(spark, sf)
-
-
-@query("d1_split_sizes_whole", "SELECT split, CASE split WHEN 'train' THEN greatest(1, floor(n * 0.8)) WHEN 'validation' THEN floor(n * 0.1) ELSE n - greatest(1, floor(n * 0.8)) - floor(n * 0.1) END::BIGINT AS n FROM (SELECT count(DISTINCT problem_id) AS n FROM problems), (SELECT unnest(['train', 'validation', 'test']) AS split)")
-def _(spark, sf):
-    return splits(spark, sf).groupBy("split").agg(F.count("*").alias("n"))
-
-
-@query("d1_split_sizes", "SELECT split, CASE split WHEN 'train' THEN greatest(1, floor(n * 0.8)) WHEN 'validation' THEN floor(n * 0.1) ELSE n - greatest(1, floor(n * 0.8)) - floor(n * 0.1) END::BIGINT AS n FROM (SELECT count(DISTINCT category) AS n FROM problems), (SELECT unnest(['train', 'validation', 'test']) AS split)")
-def _(spark, sf):
-    return splits(spark, sf, "category").groupBy("split").agg(F.count("*").alias("n"))
-
-
 @query("j27_split_membership", "SELECT count(*) AS n, count(*) AS with_split FROM problems")
 def _(spark, sf):
     return view(spark, sf, "problems").join(splits(spark, sf), "problem_id", "left").agg(F.count("*").alias("n"), F.count("split").alias("with_split"))
 
 
-@query("u11_split_disjointness", "SELECT category FROM problems WHERE false")
-def _(spark, sf):
-    return overlapping(splits(spark, sf)).join(view(spark, sf, "problems"), "problem_id").select("category")
-
-
-@query("d6_benchmark_drift", "SELECT count(*) AS n, sha256(string_agg(problem_id, ',' ORDER BY problem_id)) AS dataset_hash FROM problems WHERE ordinal % 7 = 0")
-def _(spark, sf):
-    ids = view(spark, sf, "problems").where("ordinal % 7 = 0")
-    return ids.agg(F.count("*").alias("n"), S.sha256(F.array_join(F.array_sort(F.collect_list("problem_id")), ",")).alias("dataset_hash"))
-
-
 @query("d8_truncation_gate", "SELECT round(avg((length(text) > 1000)::INT), 9) AS rate, avg((length(text) > 1000)::INT) <= 0.5 AS passes FROM turns")
 def _(spark, sf):
     r = F.avg((F.length("text") > 1000).cast("int"))
     return view(spark, sf, "turns").agg(F.round(r, 9).alias("rate"), (r <= 0.5).alias("passes"))
 
 
-@query("d10_reproducibility", "SELECT coalesce(a.stage, b.stage) AS stage, a.n AS first_n, b.n AS second_n FROM (SELECT stage, count(*) AS n FROM runs WHERE status = 'completed' GROUP BY stage) a FULL JOIN (SELECT stage, count(*) AS n FROM runs WHERE status = 'running' GROUP BY stage) b ON a.stage = b.stage WHERE a.n IS DISTINCT FROM b.n")
-def _(spark, sf):
-    r = view(spark, sf, "runs")
-    side = lambda s, n: r.where(F.col("status") == s).groupBy("stage").agg(F.count("*").alias(n))
-    return side("completed", "first_n").join(side("running", "second_n"), "stage", "full_outer").where(~F.col("first_n").eqNullSafe(F.col("second_n")))
-
-
 @query("u1_settled_keys", "SELECT candidate_id FROM evals WHERE has_result UNION SELECT candidate_id FROM evals WHERE infrastructure_error")
 def _(spark, sf):
     e = view(spark, sf, "evals")
@@ -427,11 +358,6 @@ def _(spark, sf):
     return view(spark, sf, "evals").groupBy("strategy").agg(F.count("*").alias("n"), F.count_if("has_result").alias("evaluated"), F.count_if("infrastructure_error").alias("infrastructure"), F.count_distinct("problem_id").alias("problems"))
 
 
-@query("a30_dataset_report", "SELECT category, count(*) AS n, min(ordinal) AS first_at FROM problems GROUP BY category")
-def _(spark, sf):
-    return view(spark, sf, "problems").groupBy("category").agg(F.count("*").alias("n"), F.min("ordinal").alias("first_at"))
-
-
 @query("a31_training_curve", "SELECT stage, count(DISTINCT created_at) AS steps, arg_min(cost, created_at::VARCHAR || run_id) AS first_loss, arg_max(cost, created_at::VARCHAR || run_id) AS last_loss FROM runs GROUP BY stage")
 def _(spark, sf):
     at = F.struct("created_at", "run_id")
@@ -456,31 +382,6 @@ def _(spark, sf):
     return view(spark, sf, "runs").groupBy("status").agg(F.count("*").alias("runs"), F.round(F.sum("cost"), 2).alias("cost"), F.count_distinct("stage").alias("stages"))
 
 
-@query("v1_run_validation", "SELECT 'missing_generations' AS check_name, count(*) AS violations FROM (SELECT problem_id, i FROM (SELECT DISTINCT problem_id FROM evals), (SELECT unnest(range(1, 5)) AS i) EXCEPT SELECT problem_id, generation_index FROM evals) UNION ALL SELECT 'malformed_id', 0 UNION ALL SELECT 'duplicate_id', 0")
-def _(spark, sf):
-    e = view(spark, sf, "evals")
-    count = lambda df, name: df.agg(F.lit(name).alias("check_name"), F.count("*").alias("violations"))
-    bad_id = e.where(~F.col("candidate_id").rlike(r"^p\d{8}_c\d{3,}$"))
-    twice = e.groupBy("candidate_id").agg(F.count("*").alias("n")).where("n > 1")
-    return count(missing(spark, sf), "missing_generations").unionByName(count(bad_id, "malformed_id")).unionByName(count(twice, "duplicate_id"))
-
-
-@query("v5_dataset_validation", "SELECT 'blank_prompt' AS check_name, 0::BIGINT AS violations UNION ALL SELECT 'unknown_difficulty', 0 UNION ALL SELECT 'duplicate_id', 0")
-def _(spark, sf):
-    p = view(spark, sf, "problems")
-    bad = {"blank_prompt": S.stripped("prompt") == "", "unknown_difficulty": ~F.col("difficulty").isin("easy", "medium", "hard")}
-    out = p.agg(*[F.count_if(c).alias(k) for k, c in bad.items()]).selectExpr("stack(2, 'blank_prompt', blank_prompt, 'unknown_difficulty', unknown_difficulty) AS (check_name, violations)")
-    return out.unionByName(p.groupBy("problem_id").agg(F.count("*").alias("n")).where("n > 1").agg(F.lit("duplicate_id").alias("check_name"), F.count("*").alias("violations")))
-
-
-@query("v6_model_evaluation_validation", "SELECT 'unpaired' AS check_name, count(*) AS violations FROM (SELECT problem_id FROM model_evals GROUP BY problem_id HAVING count(DISTINCT model_variant) < 2) UNION ALL SELECT 'counts', 0")
-def _(spark, sf):
-    m = view(spark, sf, "model_evals")
-    count = lambda df, name: df.agg(F.lit(name).alias("check_name"), F.count("*").alias("violations"))
-    lone = m.groupBy("problem_id").agg(F.count_distinct("model_variant").alias("n")).where("n < 2")
-    return count(lone, "unpaired").unionByName(count(m.where("tests_passed + tests_failed + tests_error <> tests_total"), "counts"))
-
-
 @query("c3_sample_candidate_id", "SELECT DISTINCT problem_id || '_c' || lpad((sample_index + 1)::VARCHAR, 3, '0') AS id FROM model_evals")
 def _(spark, sf):
     return view(spark, sf, "model_evals").select(S.candidate_id("problem_id", F.col("sample_index") + 1).alias("id")).distinct()
@@ -535,12 +436,6 @@ def dependents(spark, sf):
     return spark.sql("WITH RECURSIVE d AS (SELECT stage, dependent FROM {e} UNION ALL SELECT d.stage, e.dependent FROM d JOIN {e} e ON d.dependent = e.stage) SELECT DISTINCT stage, dependent FROM d", e=edges(spark))
 
 
-@query("g3_graph_problems", "SELECT 'x' AS stage WHERE false")
-def _(spark, sf):
-    known = spark.createDataFrame([(s,) for s in STAGES], "stage string")
-    return edges(spark).join(known, "stage", "left_anti").select("stage")
-
-
 @query("g4_invalidated", "SELECT s AS stage FROM (SELECT unnest(['preferences', 'training', 'model_evaluation', 'analysis', 'packaging']) AS s)")
 def _(spark, sf):
     return dependents(spark, sf).where("stage = 'preferences'").select(F.col("dependent").alias("stage")).union(spark.createDataFrame([("preferences",)], "stage string"))
@@ -567,9 +462,3 @@ def _(spark, sf):
 @query("g10_wide_lineage", "SELECT upstream_id, max(run_id) FILTER (status = 'completed') AS completed, max(run_id) FILTER (status = 'running') AS running, max(run_id) FILTER (status = 'failed') AS failed FROM runs GROUP BY upstream_id")
 def _(spark, sf):
     return view(spark, sf, "runs").groupBy("upstream_id").pivot("status", ["completed", "running", "failed"]).agg(F.max("run_id"))
-
-
-@query("s21_chat_arrays", "SELECT conv_id, turn, [{'role': role, 'content': text}]::VARCHAR IS NOT NULL AS ok FROM turns")
-def _(spark, sf):
-    chat = F.array(F.struct(F.col("role"), F.col("text").alias("content")))
-    return view(spark, sf, "turns").select("conv_id", "turn", chat.isNotNull().alias("ok"))

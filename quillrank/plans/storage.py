@@ -55,22 +55,6 @@ def _(spark, sf):
     return e.select("event_id", F.from_json("props", "k long").getField("k").alias("k"), (F.size(F.array_except(F.json_object_keys("props"), F.array(F.lit("k")))) > 0).alias("unknown"))
 
 
-@query("s12_run_catalog", "SELECT run_id, left(created_at::VARCHAR, 10) AS day FROM runs ORDER BY created_at DESC, run_id DESC LIMIT 10")
-def _(spark, sf):
-    path = scratch.folder(spark, "s12")
-    r = view(spark, sf, "runs").orderBy(F.desc("created_at"), F.desc("run_id")).limit(10).select("run_id", F.date_format("created_at", "yyyy-MM-dd").alias("day"))
-    jsonl.replace(r.withColumn("folder", F.col("run_id")), path, ["folder"])
-    return spark.read.schema("run_id string, day string, folder string").json(path).select("run_id", "day")
-
-
-@query("s12_run_catalog_whole", "SELECT run_id, left(created_at::VARCHAR, 10) AS day FROM runs ORDER BY created_at DESC, run_id DESC")
-def _(spark, sf):
-    path, r = scratch.folder(spark, "s12"), view(spark, sf, "runs").select("run_id", "created_at", "status")
-    jsonl.replace(r, path, ["status"])
-    back = spark.read.schema(r.schema).json(path).orderBy(F.desc("created_at"), F.desc("run_id"))
-    return back.select("run_id", F.date_format("created_at", "yyyy-MM-dd").alias("day"))
-
-
 @query("s15_metric_log", "SELECT stage, count(*) AS n, round(sum(cost), 2) AS cost FROM runs GROUP BY stage")
 def _(spark, sf):
     path, r = scratch.folder(spark, "s15"), view(spark, sf, "runs").select("stage", "cost")
@@ -100,14 +84,6 @@ def _(spark, sf):
     return jsonl.cached(c.select("digest").distinct(), store).select("digest", F.coalesce("payload", F.lit(False)).alias("hit"))
 
 
-@query("s19_archive_listing", "SELECT count(*) AS files FROM region")
-def _(spark, sf):
-    path = scratch.folder(spark, "s19")
-    table(spark, sf, "region").write.partitionBy("r_regionkey").json(path)
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", F.sha2("content", 256).alias("digest"))
-    return files.agg(F.count("digest").alias("files"))
-
-
 @query("f9_check_syntax", "SELECT candidate_id, generation_index % 5 <> 0 AS syntax_valid FROM evals")
 def _(spark, sf):
     e = view(spark, sf, "evals")
@@ -132,6 +108,7 @@ def _(spark, sf):
     return events.complete(events.hourly(events.source(spark, sf)), scratch.folder(spark, "st2"))
 
 
-@query("st3_first_seen", "SELECT user_id, event_type FROM events GROUP BY ALL")
+@query("st3_first_seen", "SELECT user_id, event_type, event_id, nullif(first_value(event_id) OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id), event_id) AS duplicate_of FROM events")
 def _(spark, sf):
-    return events.append(events.first_seen(events.source(spark, sf).select("user_id", "event_type"), ["user_id", "event_type"]), scratch.folder(spark, "st3"))
+    found = events.first_seen(events.source(spark, sf), ["user_id", "event_type"], "event_id")
+    return events.append(found, scratch.folder(spark, "st3"))

@@ -60,9 +60,9 @@ def valid_ratios(ratios: Mapping[str, float]) -> bool:
     return set(ratios) == {"train", "validation", "test"} and all(r >= 0 for r in ratios.values()) and abs(sum(ratios.values()) - 1) <= 1e-6
 
 
-# What a registered model may become.
-PROMOTIONS = {"EXPERIMENTAL": ("VALIDATED", "RETIRED", "REJECTED"), "VALIDATED": ("RECOMMENDED", "RETIRED", "REJECTED"), "RECOMMENDED": ("RETIRED",), "RETIRED": (), "REJECTED": ()}
-
-
-def may_promote(old: str, new: str) -> bool:
-    return new in PROMOTIONS.get(old, ())
+#: A small catalog of problems: id, category, difficulty and signature.
+CATALOG = (
+    ("p001", "arithmetic", "easy", "def total(xs)"), ("p002", "arithmetic", "medium", "def digits(n, base)"), ("p003", "strings", "easy", "def reversed_words(text)"), ("p004", "strings", "hard", "def edit_distance(a, b)"),
+    ("p005", "lists", "easy", "def without_repeats(xs)"), ("p006", "lists", "medium", "def merged(xs, ys)"), ("p007", "graphs", "hard", "def shortest_path(edges, a, b)"), ("p008", "search", "medium", "def first_at_least(xs, x)"),
+    ("p009", "parsing", "hard", "def evaluated(expression)"), ("p010", "recursion", "medium", "def permutations(xs)"),
+)

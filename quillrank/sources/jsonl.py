@@ -63,10 +63,14 @@ def torn(spark: SparkSession, path: str) -> DataFrame:
 
 def repair(path: str) -> int:
     """Cuts a local file after its last line break, and tells how many bytes went. Only done when asked for."""
-    size = os.path.getsize(path)
+    size = at = os.path.getsize(path)
     with open(path, "rb+") as f:
-        data = f.read()
-        keep = data.rfind(b"\n") + 1
+        keep = 0
+        while at and not keep:  # from the end, block by block
+            begin = max(0, at - (1 << 16))
+            f.seek(begin)
+            found = f.read(at - begin).rfind(b"\n")
+            keep, at = (begin + found + 1 if found >= 0 else 0), begin
         f.truncate(keep)
     return size - keep
 
@@ -84,7 +88,12 @@ def write_document(path: str, value: object) -> None:
 
 def catalog(spark: SparkSession, root: str, schema: str = "run_id string, created_at string, status string") -> DataFrame:
     """Runs, one for each folder that holds a manifest, the newest first."""
-    return document(spark, f"{root}/*/manifest.json", schema).orderBy(F.desc("created_at"), F.desc("run_id"))
+    return listed(document(spark, f"{root}/*/manifest.json", schema))
+
+
+def listed(manifests: DataFrame) -> DataFrame:
+    """Runs, the newest first, those of one time by falling id."""
+    return manifests.orderBy(F.desc("created_at"), F.desc("run_id"))
 
 
 def cached(wanted: DataFrame, store: DataFrame, digest: str = "digest") -> DataFrame:

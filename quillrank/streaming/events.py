@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupState
 
 
 def source(spark: SparkSession, sf_dir: str, table: str = "events") -> DataFrame:
@@ -36,6 +40,30 @@ def hourly(stream: DataFrame, late: str = "1 hour") -> DataFrame:
     return n.select(F.col("window.start").cast("timestamp_ntz").alias("hour"), "event_type", "n")
 
 
-def first_seen(stream: DataFrame, keys: list[str]) -> DataFrame:
-    """One row for each key, kept by state; a resumed stream remembers what it has seen."""
-    return stream.dropDuplicates(keys)
+#: Seconds after which a key that hasn't come again is forgotten.
+REMEMBERED = 90 * 24 * 3600
+
+
+def first_seen(stream: DataFrame, keys: list[str], id: str, at: str = "ts", late: str = "1 hour", remembered: int = REMEMBERED) -> DataFrame:
+    """keys, id and duplicate_of: for each row the id of the first of its key, null for the first itself; a resumed stream remembers.
+
+    State is one id for each key, and goes once the watermark has left the key's last row behind by remembered seconds: it is bounded
+    by the keys of that time. Rows of a key in one batch count by time, then id."""
+
+    def run(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        rows = pd.concat(batches).sort_values(["_at", "_id"], kind="stable")
+        first, last = state.get if state.exists else (int(rows["_id"].iloc[0]), 0)
+        last = max(last, int(rows["_at"].max().timestamp() * 1000))
+        state.update((first, last))
+        state.setTimeoutTimestamp(max(last, state.getCurrentWatermarkMs()) + remembered * 1000 + 1)
+        out = pd.DataFrame({k: rows[k].to_numpy() for k in keys})
+        out[id] = rows["_id"].to_numpy()
+        out["duplicate_of"] = pd.array([None if i == first else first for i in rows["_id"]], dtype="Int64")
+        yield out
+
+    kinds = ", ".join(f"`{k}` {stream.schema[k].dataType.simpleString()}" for k in keys)
+    slim = stream.select(*keys, F.col(id).cast("long").alias("_id"), F.col(at).cast("timestamp").alias("_at")).withWatermark("_at", late)
+    return slim.groupBy(*keys).applyInPandasWithState(run, f"{kinds}, `{id}` long, duplicate_of long", "first long, last long", "append", "EventTimeTimeout")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from quillrank.functions import scalars as S
 from quillrank.functions import syntax
-from quillrank.operators import analysis, assess, metrics, pairs, ranking
+from quillrank.operators import analysis, assess, decide, lengths, metrics, pairs, ranking, validate
 from quillrank.plans import graph
 from quillrank.plans.records import STAGES, split_of
 
@@ -80,6 +80,20 @@ def test_duplicates_are_flagged_and_kept(spark):
     assert got == {"a": ("a", False), "b": ("a", True), "c": ("c", False)}
 
 
+def test_codes_ride_along(spark):
+    a = assess.assess(evals(spark, FIVE))
+    got = pairs.accepted(pairs.decisions(a, more=("code",))).collect()
+    assert len(got) == 6 and all((r.chosen_code, r.rejected_code) == (f"code {int(r.chosen_id[-1]) - 1}", f"code {int(r.rejected_id[-1]) - 1}") for r in got)
+    plan = pairs.decisions(a)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 1  # candidates with themselves, and nothing after
+
+
+def test_missing_evidence_has_the_failures_reason(spark):
+    failures = spark.createDataFrame([("p1_c001", "timeout")], "candidate_id string, error_type string")
+    got = {r.candidate_id: r.indeterminate_reason for r in assess.assess(evals(spark, [("p1", "p1_c001", None, "x"), ("p1", "p1_c002", None, "y"), ("p1", "p1_c003", 3, "z")]), failures).collect()}
+    assert got == {"p1_c001": "timeout", "p1_c002": "missing_evaluation_result", "p1_c003": None}
+
+
 def test_empty_problem_table(spark):
     assert decided(spark, []).count() == 0 and ranking.ranked(assess.assess(evals(spark, []))).count() == 0
 
@@ -107,8 +121,9 @@ def test_nearest_rank(spark):
 
 
 @pytest.mark.parametrize(("raw", "code", "kind"), [
-    ("a\n```python\nx = 1\n```\n", "x = 1", "python_fence"), ("```\ndef f(): pass\n```", "def f(): pass", "generic_fence"), ("\nimport os\n", "import os", "bare"),
-    ("```\nno code\n```", None, None), ("prose", None, None), ("", None, None), ("```\ndef g(): 1\n```\n```python\ny\n```", "y", "python_fence"), ("```python\nx", None, None),
+    ("a\n```python\nx = 1\n```\n", "x = 1", "python_fence"), ("```\ndef f(): pass\n```", "def f(): pass", "generic_fence"), ("\nimport os\n", "import os", "plain"),
+    ("```\nno code\n```", None, "unknown"), ("prose", None, "unknown"), ("", None, "unknown"), ("```\ndef g(): 1\n```\n```python\ny\n```", "y", "python_fence"), ("```python\nx", None, "unknown"),
+    ("```python3\nx = 1\n```", "x = 1", "python_fence"), ("``` python\ny\n```", "y", "python_fence"), ("```PY \r\nz```", "z", "python_fence"), ("```python\n\n```\n```py\nw\n```", "w", "python_fence"),
 ])
 def test_extracted_code(spark, raw, code, kind):
     assert tuple(spark.createDataFrame([(raw,)], "r string").select(S.extracted_code("r").alias("x")).select("x.*").first()) == (code, kind)
@@ -138,6 +153,58 @@ def test_split_is_seeded():
     assert split_of(1) == ["train"] and split_of(0) == [] and split_of(10) == split_of(10)
 
 
+def test_percentiles_of_repeated_values(spark):
+    v = spark.createDataFrame([("x", n) for n in [5] * 90 + [7] * 9 + [100]] + [("y", 1), ("z", None)], "k string, v long")
+    got = {r.k: (r.p50, r.p90, r.p99, r.max, r.mean) for r in metrics.percentile_at(v, ["k"], "v", [50, 90, 99]).collect()}
+    assert got == {"x": (5, 5, 7, 100, 6.13), "y": (1, 1, 1, 1, 1.0)}
+
+
+def test_lengths(spark):
+    words = lambda n: "w " * n
+    rows = spark.createDataFrame([(words(n), words(5), words(n % 7)) for n in range(1, 101)], "prompt string, chosen string, rejected string")
+    sizes = lengths.measured(rows)
+    got = {r.series: r for r in lengths.distributions(sizes).collect()}
+    assert (got["prompt"].p50, got["prompt"].p90, got["prompt"].p99, got["prompt"].max, got["prompt"].mean) == (50, 90, 99, 100, 50.5) and got["prompt_chosen"].max == 105
+    assert lengths.truncation(sizes, 100, 90).first().asDict() == {"examples": 100, "truncated": 5, "prompt_overflow": 10, "rate": 0.05}
+    none = lengths.measured(rows.where("false"))
+    assert lengths.truncation(none, 1, 1).first().rate == 0.0 and {r["max"] for r in lengths.distributions(none).collect()} == {0}
+
+
+def test_sound_artifacts_have_no_violations(spark):
+    e = evals(spark, [*FIVE, ("p1", "p1_c006", None, "x")])
+    a = assess.assess(e)
+    r = ranking.ranked(a)
+    m = ranking.pair_matrix(a).select(F.col("candidate_id_a").alias("candidate_a"), F.col("candidate_id_b").alias("candidate_b"), "relation")
+    assert validate.ranking_run(a, r, e, m).count() == 0
+    p = pairs.accepted(pairs.decisions(a))
+    assert validate.preference_run(p, r, a).count() == 0
+    wrong = r.withColumn("rank", F.when(F.col("candidate_id") == "p1_c002", 2).otherwise(F.col("rank")))
+    assert {x.check_name for x in validate.ranking_run(a, wrong, e, m).collect()} == {"expected_rank"}
+    assert {x.check_name for x in validate.ranking_run(a.where("candidate_id <> 'p1_c001'"), r, e).collect()} == {"only_ranked"}
+    swapped = p.select(*[F.col({"chosen_id": "rejected_id", "rejected_id": "chosen_id"}.get(c, c)).alias(c) for c in p.columns])
+    assert {"direction", "wrong_id", "code_digest"} <= {x.check_name for x in validate.preference_run(swapped, r, a).collect()}
+
+
+def test_registry_and_resumption(spark):
+    registry = spark.createDataFrame([("a", "VALIDATED")], "model_id string, status string")
+    got = {r.model_id: r.status for r in decide.registered(registry, spark.createDataFrame([("a",), ("b",), ("b",)], "model_id string")).collect()}
+    assert got == {"a": "VALIDATED", "b": "EXPERIMENTAL"}
+    one = lambda c: spark.range(1).select(c).first()[0]
+    go = lambda a, b, e, ok: one(decide.promotion(F.lit(a), F.lit(b), F.lit(e).cast("string"), F.lit(ok)))
+    assert go("EXPERIMENTAL", "RECOMMENDED", "e", True) == "illegal_transition" and go("VALIDATED", "RECOMMENDED", None, True) == "no_evaluation"
+    assert go("VALIDATED", "RECOMMENDED", "e", False) == "criteria_failed" and go("VALIDATED", "RECOMMENDED", "e", True) is None
+    old, new = F.lit('{"model":{"name":"m"},"lora":{"r":8,"target_modules":["q"]}}'), F.lit('{"model":{"name":"m","revision":null},"lora":{"r":16,"target_modules":["q"]}}')
+    assert one(decide.changed_settings(old, new)) == ["lora.r"] and one(decide.changed_settings(old, old)) == []
+    verdict = lambda changed, same, force: one(decide.resumption(F.array(*map(F.lit, changed)), F.lit(same), F.lit(force)))
+    assert [verdict(["x"], True, True), verdict([], False, False), verdict([], False, True), verdict([], True, False)] == ["incompatible", "dataset_changed", "forced", "resume"]
+
+
+def test_attempts(spark):
+    units = spark.createDataFrame([(k,) for k in "abcde"], "k string")
+    tries = spark.createDataFrame([("a", "timeout"), ("a", None), ("b", "empty_output"), *[("c", "inference")] * 3, ("d", "timeout")], "k string, error_type string")
+    assert {r.k: (r.attempts, r.action) for r in decide.next_attempts(units, tries, ["k"]).collect()} == {"a": (2, "settled"), "b": (1, "failed"), "c": (3, "exhausted"), "d": (1, "try"), "e": (0, "try")}
+
+
 def test_graph():
     order = graph.topological(STAGES)
     assert all(order.index(n) < order.index(s) for s, needs in STAGES.items() for n in needs)
@@ -146,6 +213,7 @@ def test_graph():
         graph.topological({"a": ("b",), "b": ("a",)})
     with pytest.raises(ValueError, match="unknown"):
         graph.topological({"a": ("b",)})
+    assert graph.problems(STAGES) == [] and graph.problems({"a": ("b",), "b": ("a", "z"), "c": ("a",)}) == [("unknown", "b needs z"), ("cycle", "a, b")]
     assert graph.reusable({"status": "COMPLETED", "cache_key": "k"}, "k") and not graph.reusable({"status": "FAILED", "cache_key": "k"}, "k")
 
 

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
+import tarfile
 
 import pytest
 
-from quillrank.sources import jsonl, scratch
+from quillrank.sources import archive, jsonl, scratch
 from quillrank.streaming import events
 
 
@@ -48,4 +50,35 @@ def test_streams_resume_and_agree_with_batches(spark, tmp_path):
     assert events.append(stream(), folder).count() == 3
     df.write.mode("append").parquet(source)
     assert events.append(stream(), folder).count() == 6
-    assert events.append(events.first_seen(stream(), ["id"]), scratch.folder(spark, "first")).count() == 3
+
+
+def test_first_seen_is_remembered_over_batches(spark, tmp_path):
+    source, at = f"{tmp_path}/t/e.parquet", "2024-01-01 00:0{}:00"
+    rows = lambda *r: spark.createDataFrame([(i, k, at.format(t)) for i, k, t in r], "id long, kind string, t string").selectExpr("id", "kind", "cast(t as timestamp) as ts")
+    folder = scratch.folder(spark, "first")
+    run = lambda: {r.id: r.duplicate_of for r in events.append(events.first_seen(events.source(spark, f"{tmp_path}/t", "e"), ["kind"], "id"), folder).collect()}
+    rows((2, "a", 1), (1, "a", 2), (3, "b", 3)).write.parquet(source)
+    assert run() == {2: None, 1: 2, 3: None}
+    rows((7, "a", 4), (8, "c", 5)).write.mode("append").parquet(source)
+    assert run() == {2: None, 1: 2, 3: None, 7: 2, 8: None}
+
+
+def test_archives(spark, tmp_path):
+    for k in range(3):
+        (tmp_path / f"run/d{k}").mkdir(parents=True)
+        (tmp_path / f"run/d{k}/x.json").write_text(f"text {k}")
+    archive.pack(spark, f"file://{tmp_path}/run", f"file://{tmp_path}/run.tar.gz", "run")
+    got = archive.inspect(spark, f"file://{tmp_path}/run.tar.gz")
+    assert got["files"] == {f"d{k}/x.json": hashlib.sha256(f"text {k}".encode()).hexdigest() for k in range(3)} and got["total_bytes"] == 18
+    with tarfile.open(tmp_path / "run.tar.gz") as tar:
+        assert tar.extractfile("run/d1/x.json").read() == b"text 1"
+    (tmp_path / "bad.tar.gz").write_bytes(b"no archive")
+    with pytest.raises(ValueError, match="archive"):
+        archive.inspect(spark, f"file://{tmp_path}/bad.tar.gz")
+
+
+@pytest.mark.parametrize(("text", "left"), [("a\n" + "x" * 200_000, 2), ("x" * 200_000, 0), ("a\nb\n", 4), ("", 0)])
+def test_repair_reads_from_the_end(tmp_path, text, left):
+    path = tmp_path / "x.jsonl"
+    path.write_text(text)
+    assert jsonl.repair(str(path)) == len(text) - left and path.stat().st_size == left

@@ -11,8 +11,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from quillrank import catalog
-from quillrank.operators import metrics
-from quillrank.plans import composites, models, records
+from quillrank.operators import metrics, order
+from quillrank.plans import composites, datasets, models, records
 from quillrank.sources.adapters import view
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -45,18 +45,36 @@ def test_bootstrap_of_all(spark, name, value):
     n, rng = len(values), random.Random(42)
     means = sorted(sum(values[rng.randrange(n)] for _ in range(n)) / n for _ in range(1000))
     at = lambda q: means[int(q * 999)] + (means[int(q * 999) + 1] - means[int(q * 999)]) * (q * 999 % 1)
-    got = catalog.QUERIES[name + "_whole"](spark, SF).first()
+    got = catalog.QUERIES[name](spark, SF).first()
     assert n > 40 and (got.lower, got.upper, got.mean) == pytest.approx((at(0.025), at(0.975), sum(means) / 1000), abs=2e-9)
 
 
 @tables
-def test_hash_of_all_ids(spark):
+def test_bootstrap_without_problems(spark):
+    none = spark.createDataFrame([], "idx int, value double")
+    assert metrics.bootstrap(none, metrics.bootstrap_draws(spark, 0)).first().asDict() == {"lower": 0.0, "upper": 0.0, "mean": 0.0, "point": 0.0}
+    one = spark.createDataFrame([(0, 0.25)], "idx int, value double")
+    assert metrics.bootstrap(one, metrics.hashed_draws(spark, 1, 5), statistic=F.max).first().asDict() == {"lower": 0.25, "upper": 0.25, "mean": 0.25, "point": 0.25}
+
+
+@tables
+def test_hash_of_all_problems(spark):
     p = view(spark, SF, "problems")
-    ids = sorted(r.problem_id for r in p.select("problem_id").collect())
-    of = lambda x: hashlib.sha256(json.dumps(x).encode()).hexdigest()
-    assert len(ids) > 50 and catalog.QUERIES["f19_dataset_hash_whole"](spark, SF).first()[0] == of(ids)
-    assert composites.dataset_hash(p.where(F.col("problem_id") != ids[-1])).first()[0] == of(ids[:-1]) != of(ids)
-    assert composites.dataset_hash(p.where("false")).first()[0] == of([])
+    kept = [{"id": r.problem_id, "prompt": r.prompt, "category": r.category, "difficulty": r.difficulty} for r in p.orderBy("problem_id").collect()]
+    of = lambda x: hashlib.sha256(json.dumps(x, sort_keys=True, ensure_ascii=False).encode()).hexdigest()
+    assert len(kept) > 50 and catalog.QUERIES["f19_dataset_hash"](spark, SF).first()[0] == of(kept)
+    assert datasets.dataset_hash(p.where(F.col("problem_id") != kept[-1]["id"])).first()[0] == of(kept[:-1]) != of(kept)
+    assert datasets.dataset_hash(p.where("false")).first()[0] == of([])
+
+
+@pytest.mark.parametrize("parts", [1, 7])
+def test_places_in_order(spark, parts):
+    ids = [f"k{(i * 7919) % 10007:05d}" for i in range(3000)]
+    df = spark.createDataFrame([(i, len(i)) for i in ids], "id string, n int").repartition(parts)
+    got = order.numbered(df, "id", first=0).collect()
+    assert {r.id: r.position for r in got} == {i: k for k, i in enumerate(sorted(ids))} and got[0].n == 6
+    assert order.numbered(df.where("false"), "id").count() == 0
+    assert order.digest(df, "id", between=",").first()[0] == hashlib.sha256(",".join(sorted(ids)).encode()).hexdigest()
 
 
 @tables
@@ -64,14 +82,14 @@ def test_leaks_are_found(spark):
     rows = lambda *ids: spark.createDataFrame([(i,) for i in ids], "problem_id string")
     assert composites.leaked(rows("a", "b", "b", "c"), rows("b", "c", "d")).first()[0] == 2
     assert composites.leaked(rows("a"), rows("b")).first()[0] == 0
-    assert catalog.QUERIES["j21_leakage_guard_whole"](spark, SF).first()[0] > 0
+    assert catalog.QUERIES["j21_leakage_guard"](spark, SF).first()[0] > 0
 
 
 @tables
 @pytest.mark.parametrize(("name", "rows", "order"), [("o9_pair_table", lambda s: catalog.QUERIES["c12_trained_problems"](s, SF), None), ("o2_newest_runs", lambda s: view(s, SF, "runs"), "created_at"), ("s12_run_catalog", lambda s: view(s, SF, "runs"), "day")])
 def test_all_rows_in_order(spark, name, rows, order):
-    got = catalog.QUERIES[name + "_whole"](spark, SF).collect()
-    assert len(got) >= rows(spark).count() and len(got) > catalog.QUERIES[name](spark, SF).count()
+    got = catalog.QUERIES[name](spark, SF).collect()
+    assert len(got) >= rows(spark).count()
     key = [(r[order], r.run_id) if order else r.preference_id for r in got]
     assert key == sorted(key, reverse=order is not None)
 
