@@ -1,8 +1,8 @@
 """Main text of web pages: markup first, then nearest-URL page differencing.
 
 A page is read into blocks of text, in page order. Menus, headers, footers, sidebars, forms, notices, adverts, scripts, styles and
-reader comments go by their elements, roles and class names. What stands in an article element (or else in main) is the page's
-text, whole. On a page without either the markup leaves it open which blocks are the article; there each page is held against
+reader comments go by their elements, roles and whole class names: "related-work" is no "related", and "no-sidebar" no "sidebar". What stands
+in an article element (or else in main) is the page's text, whole; where only elements that would go hold one, they stay. On a page without either the markup leaves it open which blocks are the article; there each page is held against
 the page of its host whose URL path is nearest, their lines are aligned by a longest common subsequence, and the lines that both
 have are deleted. A page of which nothing would be left is a copy of the other, and keeps its lines.
 
@@ -14,7 +14,7 @@ split a host that has most pages; a page's rank finds its neighbours by an equal
 
 Defined results: null or empty html gives an empty text; a null url is a host of its own without a name; repeated rows give
 repeated results, and equal open pages are copies that keep their lines; an empty table gives an empty result. Columns that clash with
-the operator's are replaced by them.
+the operator's are replaced by them. A page of any length and depth is read whole, in time that grows with its length.
 """
 
 from __future__ import annotations
@@ -42,7 +42,16 @@ BLOCKS = frozenset(
 )
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 NAMES = frozenset(
-    "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notices notification popup modal overlay paywall newsletter subscribe subscription nav navbar navigation menu breadcrumb breadcrumbs sidebar footer comment comments commentlist disqus respond reply replies related recommended share sharing social widget pagination pager toolbar masthead signup login skip".split()
+    """
+    ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notices notification popup modal overlay paywall
+    newsletter subscribe subscription nav navbar navigation menu breadcrumb breadcrumbs sidebar footer comment comments commentlist disqus respond reply replies related recommended
+    share sharing social widget pagination pager toolbar masthead signup login skip
+    ad-banner ad-box ad-container ad-slot ad-unit ad-wrapper advert-box cookie-banner cookie-bar cookie-consent cookie-notice consent-banner gdpr-banner notice-bar
+    newsletter-form newsletter-signup newsletter-box subscribe-box signup-form login-form nav-bar nav-menu site-nav main-nav main-menu site-menu top-nav side-bar site-sidebar
+    site-header site-footer page-footer page-header comment-area comment-body comment-form comment-list comment-section comments-area comments-list comments-section user-comments reader-comments
+    disqus-thread related-articles related-links related-posts recommended-articles recommended-posts read-more-links share-bar share-buttons share-links social-bar social-buttons social-links
+    social-share sharing-buttons skip-link page-navigation post-navigation
+    """.split()
 )
 #: An element that a start tag of its kind, or of those named, ends.
 ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th")}
@@ -51,8 +60,8 @@ SCOPE = frozenset("ul ol dl table div section article main body html".split())
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>|</?[a-zA-Z][^>]*\Z", re.DOTALL)
 _ATTRIBUTE = re.compile(r"([^\s=/\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+)))?")
-_NAME = re.compile(r"[a-z]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
+_HOLDS = re.compile(r"<(?:article|main)[\s>]", re.IGNORECASE)
 ARTICLE, MAIN, OPEN = 0, 1, 2
 
 
@@ -65,14 +74,41 @@ def _chrome(tag: str, text: str, inside: int) -> bool:
     if "hidden" in got or got.get("aria-hidden") == "true" or "display:none" in got.get("style", "").replace(" ", "").lower() or got.get("role", "").lower() in ROLES:
         return True
     names = f"{got.get('class', '')} {got.get('id', '')}"
-    # an article says by a whole name that it is a comment, say; parts of names tell what it has
-    return any(w in NAMES for w in (names.lower().split() if tag == "article" else _NAME.findall(_CAMEL.sub("-", names).lower())))
+    return any(w in NAMES for w in _CAMEL.sub("-", names).lower().replace("_", "-").split())
 
 
-def blocks(page: str | None) -> list[tuple[str, int]]:
-    """The text of each block of a page, with ARTICLE, MAIN or OPEN for where it stands; white space is one space."""
+class _Stack:
+    """Open elements. Of each kind it knows the places, so that finding one takes no walk."""
+
+    def __init__(self) -> None:
+        self.open: list[tuple[str, int, int]] = []  # element, what was dropped before it, and what it stands in
+        self.at: dict[str, list[int]] = {}
+        self.scopes: list[int] = []
+
+    def push(self, tag: str, dropped: int, inside: int) -> None:
+        self.at.setdefault(tag, []).append(len(self.open))
+        if tag in SCOPE:
+            self.scopes.append(len(self.open))
+        self.open.append((tag, dropped, inside))
+
+    def pop(self) -> tuple[str, int, int]:
+        tag = self.open[-1][0]
+        self.at[tag].pop()
+        if tag in SCOPE:
+            self.scopes.pop()
+        return self.open.pop()
+
+    def find(self, names: Sequence[str], scope: bool) -> int:
+        """The place of the last of names, or -1; scope: only after the last of SCOPE."""
+        k = max((self.at[n][-1] for n in names if self.at.get(n)), default=-1)
+        return -1 if scope and self.scopes and self.scopes[-1] > k else k
+
+
+def blocks(page: str | None, held: bool = False) -> list[tuple[str, int]]:
+    """The text of each block of a page, with ARTICLE, MAIN or OPEN for where it stands; white space is one space. held: an
+    element that would go doesn't, as far as it holds article or main."""
     page, out, text, at = page or "", [], [], 0
-    stack: list[tuple[str, bool, int]] = []  # element, whether it is dropped, what it stands in
+    stack, lost = _Stack(), set()
     dropped, inside = 0, OPEN
 
     def flush() -> None:
@@ -84,20 +120,11 @@ def blocks(page: str | None) -> list[tuple[str, int]]:
 
     def pop(depth: int) -> None:
         nonlocal dropped, inside
-        while len(stack) > depth:
-            tag, gone, was = stack.pop()
+        while len(stack.open) > depth:
+            tag, was_dropped, was = stack.pop()
             if tag in BLOCKS:
                 flush()
-            dropped -= gone
-            inside = was
-
-    def find(names: Sequence[str], scope: bool) -> int:
-        for k in range(len(stack) - 1, -1, -1):
-            if stack[k][0] in names:
-                return k
-            if scope and stack[k][0] in SCOPE:
-                return -1
-        return -1
+            dropped, inside = was_dropped, was
 
     while at < len(page):
         m = _TOKEN.search(page, at)
@@ -111,7 +138,7 @@ def blocks(page: str | None) -> list[tuple[str, int]]:
             continue
         tag = m[2].lower()
         if m[1]:
-            k = find((tag,), False)
+            k = stack.find((tag,), False)
             if k >= 0:
                 pop(k)
             elif tag in BLOCKS:
@@ -124,21 +151,25 @@ def blocks(page: str | None) -> list[tuple[str, int]]:
         elif tag in RAW:
             if tag in FOREIGN and m[3].endswith("/"):
                 continue
-            close = re.compile(rf"</{tag}\s*>", re.IGNORECASE).search(page, at)
+            close = None if tag in lost else re.compile(rf"</{tag}\s*>", re.IGNORECASE).search(page, at)
+            if close is None:
+                lost.add(tag)  # nor is there one further on
             if close or tag in CODE:
                 at = close.end() if close else len(page)
         else:
             if tag in BLOCKS:
-                k = find(("p",), True)
+                k = stack.find(("p",), True)
                 if k >= 0:
                     pop(k)
                 flush()
-            if tag in ENDS and (k := find(ENDS[tag], True)) >= 0:
+            if tag in ENDS and (k := stack.find(ENDS[tag], True)) >= 0:
                 pop(k)
             if m[3].endswith("/") and tag not in BLOCKS:
                 continue
+            stack.push(tag, dropped, inside)
             gone = _chrome(tag, m[3], inside)
-            stack.append((tag, gone, inside))
+            if held and tag in ("article", "main") and not gone:
+                dropped = 0
             dropped += gone
             if tag == "article":
                 inside = ARTICLE
@@ -151,10 +182,14 @@ def blocks(page: str | None) -> list[tuple[str, int]]:
 def chosen(page: str | None) -> tuple[list[str], bool]:
     """The lines of the page's text, and whether markup leaves it open which of them are the article."""
     got = blocks(page)
-    for kind in (ARTICLE, MAIN):
-        lines = [t for t, k in got if k == kind]
-        if lines:
-            return lines, False
+    for again in (False, True):
+        if again and not (page and _HOLDS.search(page)):
+            break
+        found = blocks(page, held=True) if again else got
+        for kind in (ARTICLE, MAIN):
+            lines = [t for t, k in found if k == kind]
+            if lines:
+                return lines, False
     return [t for t, _ in got], bool(got)
 
 
