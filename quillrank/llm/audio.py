@@ -3,7 +3,9 @@
 A payload is stored losslessly as an 8-bit mono WAV file in a binary column. Features are computed from the bytes read back:
 the samples are resampled by a polyphase filter, framed with overlap and turned into log-mel energies; energy segments are
 found with hysteresis, which opens a segment above one level and closes it below a lower one. The frames come as tensors of
-the fixed shape SHAPE, each with its span of time; as_tensors() gives them Arrow's fixed-shape tensor type.
+the fixed shape SHAPE, each with its span of time. They are made, and go to Spark, as Arrow's fixed-shape tensors; Spark stores the values as
+lists of math.prod(SHAPE) floats and has no type for the shape, so the column's metadata names Arrow's extension type and shape
+(TENSOR), and as_tensors() takes a stored column back to it, or fails where a list has another size.
 
 A row depends on nothing but its own text, so nothing is shuffled, equal texts have equal results on any partitioning, and a
 lost task is simply run again. Long payloads are worked through in blocks of fixed size.
@@ -15,6 +17,8 @@ results; an empty table gives an empty result. Columns that clash with the opera
 from __future__ import annotations
 
 import hashlib
+import json
+import math
 import struct
 import zlib
 from collections.abc import Iterator
@@ -43,6 +47,8 @@ SCHEMA = (
     "media binary, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, "
     "tensors array<struct<start_s:double,end_s:double,values:array<float>>>, segments array<struct<start_s:double,end_s:double>>, feature string"
 )
+#: Metadata of the column of tensors, as Arrow names them.
+TENSOR = {"ARROW:extension:name": "arrow.fixed_shape_tensor", "ARROW:extension:metadata": json.dumps({"shape": list(SHAPE)})}
 _SPAN = [("start_s", pa.float64()), ("end_s", pa.float64())]
 _ARROW = [
     ("media", pa.binary()), ("n_bytes", pa.int64()), ("payload_bytes", pa.int64()), ("payload_sha256", pa.string()), ("tail_crc32", pa.int64()),
@@ -155,7 +161,7 @@ class Features:
         digest = zlib.crc32(np.round(mel * 16).astype("<i2").tobytes())
         return {
             "payload_bytes": len(payload), "payload_sha256": hashlib.sha256(payload).hexdigest(), "tail_crc32": zlib.crc32(payload[-PAD:]),
-            "tensors": [{"start_s": k * rows * step, "end_s": min((k * rows + rows - 1) * step + FRAME / self.rate, last), "values": x.ravel()} for k, x in enumerate(whole.reshape(-1, rows, MELS))],
+            "spans": [(k * rows * step, min((k * rows + rows - 1) * step + FRAME / self.rate, last)) for k in range(len(whole) // rows)], "values": whole,
             "segments": [{"start_s": a * step, "end_s": b * step} for a, b in spans],
             "feature": f"frames={len(mel)};segments={len(spans)};active={sum(b - a for a, b in spans)};mel={digest:08x}",
         }
@@ -177,21 +183,38 @@ def audio_features(docs: DataFrame, text: str = "text", keep: tuple[str, ...] =
                 rows.append({"media": media, "n_bytes": len(data), "media_bytes": len(media), "media_sha256": hashlib.sha256(media).hexdigest()} | make.of(media))
                 size += len(media)
                 if size >= BATCH_BYTES or i + 1 == len(batch):
-                    cols = [batch.column(k).slice(begin, len(rows)) for k in range(len(own))] + [pa.array([r[n] for r in rows], kind) for n, kind in _ARROW]
+                    cols = [batch.column(k).slice(begin, len(rows)) for k in range(len(own))] + [_tensors(rows) if n == "tensors" else pa.array([r[n] for r in rows], kind) for n, kind in _ARROW]
                     yield pa.RecordBatch.from_arrays(cols, [*own, *(n for n, _ in _ARROW)])
                     rows, size, begin = [], 0, i + 1
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in slim.schema.fields[:-1])
-    return slim.mapInArrow(run, f"{schema}, {SCHEMA}" if own else SCHEMA)
+    out = slim.mapInArrow(run, f"{schema}, {SCHEMA}" if own else SCHEMA)
+    return out.withMetadata("tensors", TENSOR)
+
+
+def fixed_shape(values: np.ndarray) -> pa.FixedShapeTensorArray:
+    """Frames, MELS values each and SHAPE[0] to a tensor, as Arrow's fixed-shape tensors."""
+    return pa.FixedShapeTensorArray.from_numpy_ndarray(np.ascontiguousarray(values.reshape(-1, *SHAPE), np.float32))
+
+
+def _tensors(rows: list[dict]) -> pa.ListArray:
+    """The column tensors of rows of Features.of()."""
+    made = fixed_shape(np.concatenate([r["values"] for r in rows]))
+    n = np.cumsum([0, *(len(r["spans"]) for r in rows)])
+    start, end = (pa.array([s[j] for r in rows for s in r["spans"]], pa.float64()) for j in (0, 1))
+    return pa.ListArray.from_arrays(pa.array(n, pa.int32()), pa.StructArray.from_arrays([start, end, made.storage.cast(pa.list_(pa.float32()))], ["start_s", "end_s", "values"]))
 
 
 def as_tensors(values: pa.ListArray) -> pa.ExtensionArray:
-    """tensors.values as Arrow's fixed-shape tensors of SHAPE."""
-    kind = pa.fixed_shape_tensor(pa.float32(), SHAPE)
-    flat = values.flatten() if len(values) else pa.array([], pa.float32())
-    return pa.ExtensionArray.from_storage(kind, pa.FixedSizeListArray.from_arrays(flat.cast(pa.float32()), SHAPE[0] * SHAPE[1]))
+    """tensors.values, as stored, as Arrow's fixed-shape tensors of SHAPE."""
+    if isinstance(values, pa.ChunkedArray):
+        values = values.combine_chunks()
+    if any(n != math.prod(SHAPE) for n in values.value_lengths().unique().to_pylist()):
+        raise ValueError(f"a tensor hasn't the shape {SHAPE}")
+    flat = values.flatten().cast(pa.float32()) if len(values) else pa.array([], pa.float32())
+    return pa.ExtensionArray.from_storage(pa.fixed_shape_tensor(pa.float32(), SHAPE), pa.FixedSizeListArray.from_arrays(flat, math.prod(SHAPE)))
 
 
 def op1_audio_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = audio_features(read(spark, sf_dir, "documents"))
-    return out.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature")
+    return out.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "tensors", "segments")
