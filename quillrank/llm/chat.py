@@ -13,8 +13,10 @@ Formatting a turn needs no other turn, so it is a plain map. read_back() reads f
 conversation, sorted, and streamed, with a running digest instead of the conversation in memory, so that not even a
 conversation of a third of all rows has to fit a task's memory.
 
-Defined results: a null or empty text is an empty part, a null role an empty role; turns go by number, null first, equal ones
-as their formatted turns sort; repeated rows are repeated turns; an empty table gives no rows. Other columns are not kept.
+Defined results: a null or empty text is an empty part, a null role an empty role; a null part is none, and a part of a null or
+unknown type is a placeholder <|other:n|> that stands for no tokens, with its type in the record; null sizes count as the least.
+Turns go by number, null first, equal ones as their formatted turns sort; a null conv_id is a conversation of its own; repeated rows are
+repeated turns; an empty table gives no rows; a text of any length is formatted whole. Other columns are not kept, and so can't clash.
 """
 
 from __future__ import annotations
@@ -34,18 +36,19 @@ from .common import read, tidy
 START, END = "<|im_start|>", "<|im_end|>"
 #: Roles whose text bears the loss.
 LOSS_ROLES = ("assistant",)
-#: Tokens: an image has one for each tile of TILE x TILE pixels, audio some for each second, a document for each page.
+#: Tokens: a text has its words, an image has one for each tile of TILE x TILE pixels, audio some for each second, a document for each page.
 TILE, AUDIO_PER_S, PAGE_TOKENS = 28, 25, 512
 
 PARTS = "array<struct<type:string,text:string,ref:string,width:int,height:int,seconds:double,pages:int>>"
 FORMATTED = "conv_id long, turn long, formatted string, loss_start long, loss_end long, n_tokens long, attachments array<struct<placeholder:string,type:string,ref:string,at:long,n_tokens:long>>"
 _ATTACHMENT = pa.struct([("placeholder", pa.string()), ("type", pa.string()), ("ref", pa.string()), ("at", pa.int64()), ("n_tokens", pa.int64())])
 _FORMATTED = pa.schema([("conv_id", pa.int64()), ("turn", pa.int64()), ("formatted", pa.string()), ("loss_start", pa.int64()), ("loss_end", pa.int64()), ("n_tokens", pa.int64()), ("attachments", pa.list_(_ATTACHMENT))])
-DIGEST = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
-_DIGEST = pa.schema([("conv_id", pa.int64()), ("n_turns", pa.int64()), ("turns_sha256", pa.string()), ("loss_chars", pa.int64()), ("loss_sha256", pa.string()), ("formatted_chars", pa.int64())])
+DIGEST = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, n_attachments long, n_tokens long"
+_DIGEST = pa.schema([("conv_id", pa.int64()), ("n_turns", pa.int64()), ("turns_sha256", pa.string()), ("loss_chars", pa.int64()), ("loss_sha256", pa.string()), ("formatted_chars", pa.int64()), ("n_attachments", pa.int64()), ("n_tokens", pa.int64())])
 
 _RAW, _ESCAPED = re.compile(r"<(\\*)\|"), re.compile(r"<\\(\\*)\|")
-_PLACEHOLDER = re.compile(r"<\|(image|audio|document):\d+\|>")
+_WORD = re.compile(r"[^\x20\x09-\x0D]+")
+_PLACEHOLDER = re.compile(r"<\|(image|audio|document|other):\d+\|>")
 _TURN = re.compile(r"<\|im_start\|>([^\n]*)\n(.*)<\|im_end\|>\n", re.DOTALL)
 _ROLE = {"\\": "\\\\", "\n": "\\n"}
 
@@ -78,34 +81,35 @@ class Visitor:
     n_tokens: int = 0
 
     def visit(self, part: dict) -> None:
-        visit = getattr(self, f"visit_{part['type']}", None)
-        if visit is None:
-            raise ValueError(f"no such type of part: {part['type']!r}")
-        visit(part)
+        visit = {"text": self.visit_text, "image": self.visit_image, "audio": self.visit_audio, "document": self.visit_document}
+        visit.get(part.get("type"), self.visit_other)(part)
 
     def visit_text(self, part: dict) -> None:
         # Texts that follow one another are escaped as one: a control string may begin in one and end in the next.
-        self.pending += part["text"] or ""
-        self.n_tokens += len((part["text"] or "").split())
+        self.pending += part.get("text") or ""
+        self.n_tokens += len(_WORD.findall(part.get("text") or ""))
 
     def visit_image(self, part: dict) -> None:
-        self._attach(part, math.ceil((part["width"] or 1) / TILE) * math.ceil((part["height"] or 1) / TILE))
+        self._attach(part, math.ceil((part.get("width") or 1) / TILE) * math.ceil((part.get("height") or 1) / TILE))
 
     def visit_audio(self, part: dict) -> None:
-        self._attach(part, math.ceil((part["seconds"] or 0) * AUDIO_PER_S))
+        self._attach(part, math.ceil((part.get("seconds") or 0) * AUDIO_PER_S))
 
     def visit_document(self, part: dict) -> None:
-        self._attach(part, (part["pages"] or 1) * PAGE_TOKENS)
+        self._attach(part, (part.get("pages") or 1) * PAGE_TOKENS)
+
+    def visit_other(self, part: dict) -> None:
+        self._attach(part, 0, "other")
 
     def end(self) -> str:
         self._add(escaped(self.pending))
         self.pending = ""
         return "".join(self.out)
 
-    def _attach(self, part: dict, n_tokens: int) -> None:
+    def _attach(self, part: dict, n_tokens: int, kind: str | None = None) -> None:
         self.end()
-        placeholder = f"<|{part['type']}:{len(self.attachments) + 1}|>"
-        self.attachments.append({"placeholder": placeholder, "type": part["type"], "ref": part["ref"], "at": self.at, "n_tokens": n_tokens})
+        placeholder = f"<|{kind or part['type']}:{len(self.attachments) + 1}|>"
+        self.attachments.append({"placeholder": placeholder, "type": part.get("type"), "ref": part.get("ref"), "at": self.at, "n_tokens": n_tokens})
         self.n_tokens += n_tokens
         self._add(placeholder)
 
@@ -121,7 +125,8 @@ def format_turn(role: str | None, parts: list[dict] | None) -> dict:
     head = f"{START}{escaped_role(role)}\n"
     visitor = Visitor(len(head))
     for part in parts or ():
-        visitor.visit(part)
+        if part is not None:
+            visitor.visit(part)
     body = visitor.end()
     loss = (len(head), len(head) + len(body)) if role in LOSS_ROLES else (0, 0)
     return {"formatted": f"{head}{body}{END}\n", "loss_start": loss[0], "loss_end": loss[1], "n_tokens": visitor.n_tokens, "attachments": visitor.attachments}
@@ -157,10 +162,12 @@ class _Conversation:
 
     def __init__(self, conv_id: int | None) -> None:
         self.conv_id, self.turns, self.loss = conv_id, hashlib.sha256(), hashlib.sha256()
-        self.n_turns = self.loss_chars = self.formatted_chars = 0
+        self.n_turns = self.loss_chars = self.formatted_chars = self.n_attachments = self.n_tokens = 0
 
-    def add(self, formatted: str, start: int, end: int) -> None:
+    def add(self, formatted: str, start: int, end: int, n_tokens: int) -> None:
         role, text = parse_turn(formatted)
+        self.n_attachments += len(_PLACEHOLDER.findall(formatted))
+        self.n_tokens += n_tokens
         self.turns.update(f"{role}\n{text}\n".encode("utf-8", "surrogatepass"))
         under = unescaped(_PLACEHOLDER.sub("", formatted[start:end]))
         self.loss.update(under.encode("utf-8", "surrogatepass"))
@@ -169,7 +176,7 @@ class _Conversation:
         self.formatted_chars += len(formatted)
 
     def row(self) -> dict:
-        return {"conv_id": self.conv_id, "n_turns": self.n_turns, "turns_sha256": self.turns.hexdigest(), "loss_chars": self.loss_chars, "loss_sha256": self.loss.hexdigest(), "formatted_chars": self.formatted_chars}
+        return {"conv_id": self.conv_id, "n_turns": self.n_turns, "turns_sha256": self.turns.hexdigest(), "loss_chars": self.loss_chars, "loss_sha256": self.loss.hexdigest(), "formatted_chars": self.formatted_chars, "n_attachments": self.n_attachments, "n_tokens": self.n_tokens}
 
 
 def read_back(formatted: DataFrame) -> DataFrame:
@@ -183,13 +190,13 @@ def read_back(formatted: DataFrame) -> DataFrame:
                 if now is None or now.conv_id != r["conv_id"]:
                     rows += [now.row()] if now else []
                     now = _Conversation(r["conv_id"])
-                now.add(r["formatted"], r["loss_start"], r["loss_end"])
+                now.add(r["formatted"], r["loss_start"], r["loss_end"], r["n_tokens"])
             yield pa.RecordBatch.from_pylist(rows, _DIGEST)
             rows = []
         if now:
             yield pa.RecordBatch.from_pylist([now.row()], _DIGEST)
 
-    dealt = formatted.select("conv_id", "turn", "formatted", "loss_start", "loss_end").repartition("conv_id").sortWithinPartitions("conv_id", "turn", "formatted")
+    dealt = formatted.select("conv_id", "turn", "formatted", "loss_start", "loss_end", "n_tokens").repartition("conv_id").sortWithinPartitions("conv_id", "turn", "formatted")
     return dealt.mapInArrow(run, DIGEST)
 
 
@@ -211,6 +218,7 @@ WITH t AS (
 SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
   sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END)::BIGINT AS loss_chars,
   sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
-  sum(length(role) + length(regexp_replace(text, '<(\\*)\|', '<\\\1|', 'g')) + 24)::BIGINT AS formatted_chars
+  sum(length(role) + length(regexp_replace(text, '<(\\*)\|', '<\\\1|', 'g')) + 24)::BIGINT AS formatted_chars,
+  0::BIGINT AS n_attachments, sum(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')))::BIGINT AS n_tokens
 FROM t GROUP BY conv_id
 """
