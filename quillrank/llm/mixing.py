@@ -12,7 +12,8 @@ summed before the shuffle. Only the slice in which a source reaches its target i
 whatever the source's size; every other document knows from that slice's cut alone whether it is taken.
 
 Defined results: a null text has no words and is taken with 0 words; a null source is a source of its own, the last; equal
-rows rank alike and are taken from in any order, with the same words; an empty table gives an empty mix. Own columns start
+rows rank alike and are taken from in any order, with the same words; a text of any length counts whole; an empty table gives an
+empty mix. Own columns start
 with "mix_"; other columns are kept as they are.
 """
 

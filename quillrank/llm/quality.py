@@ -4,7 +4,7 @@ Every rule is evaluated once for each document. The ledger keeps the measurement
 policies are versioned bit masks over it, so that a new policy, or an ablation of a rule, needs no second reading of the
 texts. Everything here is DataFrame and SQL functions; no Python runs on the executors, and nothing is shuffled.
 
-Defined results: a null text counts as empty; an empty text has no words and fails ``few_words``; rows are independent,
+Defined results: a null text counts as empty; a text of any length is measured whole, in its own row; an empty text has no words and fails ``few_words``; rows are independent,
 so repeated rows give repeated results; an empty table gives an empty ledger. Columns of the input whose names clash
 with the ledger's are replaced by the ledger's.
 """
@@ -150,6 +150,16 @@ def op5_quality_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return book.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", fails(BASE).alias("base_failed"), (F.col("kept") & ~fails(BASE)).alias("kept"), "fail_bits", "n_lines")
 
 
+def quality_ablation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each rule of the standard policy rejects, and rejects alone."""
+    return ablation(ledger(read(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
+def quality_everywhere(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which rules some and which all documents of a source fail."""
+    return everywhere(ledger(read(spark, sf_dir, "documents").select("doc_id", "source", "text")), "source")
+
+
 OP5_SQL = r"""
 WITH d AS (
   SELECT doc_id, coalesce(text, '') AS t, row_number() OVER () AS r FROM documents
@@ -177,3 +187,9 @@ WITH d AS (
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (bits & 3) <> 0 AS base_failed, (bits & 15) = 0 AS kept,
   bits::BIGINT AS fail_bits, n_lines FROM b
 """
+
+ABLATION_SQL = f"""
+SELECT rule, count(*) FILTER (fail_bits & bit <> 0) AS n_failed, count(*) FILTER (fail_bits & {mask(STANDARD)} = bit) AS n_only, count(*) FILTER (fail_bits & {mask(STANDARD)} <> 0) AS n_rejected
+FROM ({OP5_SQL}) b, (VALUES {", ".join(f"('{r.name}', {1 << r.bit})" for r in RULES if r.name in POLICIES[STANDARD])}) r(rule, bit) GROUP BY rule
+"""
+EVERYWHERE_SQL = f"SELECT source, bit_or(fail_bits)::BIGINT AS failed_by_some, bit_and(fail_bits)::BIGINT AS failed_by_all, count(*) AS n_docs FROM ({OP5_SQL}) b JOIN documents d USING (doc_id) GROUP BY source"
