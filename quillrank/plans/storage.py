@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from quillrank.functions import syntax
 from quillrank.plans.registry import query
-from quillrank.sources import jsonl, scratch
+from quillrank.sources import inference, jsonl, scratch
 from quillrank.sources.adapters import table, view
 from quillrank.streaming import events
 
@@ -84,6 +84,25 @@ def _(spark, sf):
     return jsonl.cached(c.select("digest").distinct(), store).select("digest", F.coalesce("payload", F.lit(False)).alias("hit"))
 
 
+def mock_client():
+    """Answers with the prompt's digest; prompts of an odd length fail, and a call with a certain prompt fails as a whole."""
+    import hashlib
+
+    def ask(prompts: list[str]) -> list:
+        return [RuntimeError("odd") if len(p) % 2 else hashlib.sha256(p.encode()).hexdigest() for p in prompts]
+
+    return ask
+
+
+@query("s20_batch_inference", "SELECT problem_id, CASE WHEN length(prompt) % 2 = 0 THEN sha256(prompt) END AS output, CASE WHEN length(prompt) % 2 = 1 THEN 'RuntimeError: odd' END AS error FROM problems WHERE ordinal % 3 > 0")
+def _(spark, sf):
+    path, p = scratch.folder(spark, "s20"), view(spark, sf, "problems")
+    jsonl.replace(p.select("problem_id", "prompt"), f"{path}/in")
+    prompts = jsonl.read(spark, f"{path}/in", "problem_id string, prompt string")
+    inference.generate(prompts, mock_client, "problem_id", done=p.where("ordinal % 3 = 0")).write.json(f"{path}/out")
+    return jsonl.read(spark, f"{path}/out", "problem_id string, output string, error string")
+
+
 @query("f9_check_syntax", "SELECT candidate_id, generation_index % 5 <> 0 AS syntax_valid FROM evals")
 def _(spark, sf):
     e = view(spark, sf, "evals")
@@ -105,7 +124,7 @@ def _(spark, sf):
 
 @query("st2_hourly_counts", "SELECT date_trunc('hour', ts) AS hour, event_type, count(*) AS n FROM events GROUP BY ALL")
 def _(spark, sf):
-    return events.complete(events.hourly(events.source(spark, sf)), scratch.folder(spark, "st2"))
+    return events.updated(events.hourly(events.source(spark, sf)), scratch.folder(spark, "st2"), ["hour", "event_type"])
 
 
 @query("st3_first_seen", "SELECT user_id, event_type, event_id, nullif(first_value(event_id) OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id), event_id) AS duplicate_of FROM events")

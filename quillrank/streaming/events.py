@@ -23,14 +23,18 @@ def append(stream: DataFrame, folder: str) -> DataFrame:
     return stream.sparkSession.read.schema(stream.schema).parquet(f"{folder}/rows")
 
 
-def complete(stream: DataFrame, folder: str) -> DataFrame:
-    """The whole result after all that has come: each batch replaces it."""
-    def write(batch: DataFrame, _: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{folder}/result")
+def updated(stream: DataFrame, folder: str, keys: list[str]) -> DataFrame:
+    """The newest row of each key. A batch writes the rows that it changed, in a folder by its number, which replaces them if it is run
+    again; state that the watermark has left goes."""
+    def write(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{folder}/result/batch={number}")
 
-    q = stream.writeStream.outputMode("complete").foreachBatch(write).option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start()
+    q = stream.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start()
     q.awaitTermination()
-    return stream.sparkSession.read.schema(stream.schema).parquet(f"{folder}/result")
+    spark, rest = stream.sparkSession, [c for c in stream.columns if c not in keys]
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in stream.schema.fields), "batch long"])
+    newest = spark.read.schema(schema).parquet(f"{folder}/result").groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch").alias("_n"))
+    return newest.select(*keys, *[F.col(f"_n.{c}").alias(c) for c in rest])
 
 
 def hourly(stream: DataFrame, late: str = "1 hour") -> DataFrame:

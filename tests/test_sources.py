@@ -8,7 +8,7 @@ import tarfile
 
 import pytest
 
-from quillrank.sources import archive, jsonl, scratch
+from quillrank.sources import archive, inference, jsonl, scratch
 from quillrank.streaming import events
 
 
@@ -82,3 +82,31 @@ def test_repair_reads_from_the_end(tmp_path, text, left):
     path = tmp_path / "x.jsonl"
     path.write_text(text)
     assert jsonl.repair(str(path)) == len(text) - left and path.stat().st_size == left
+
+
+def test_windows_are_updated_over_batches(spark, tmp_path):
+    source = f"{tmp_path}/t/e.parquet"
+    rows = lambda *r: spark.createDataFrame([(i, k, f"2024-01-01 0{h}:10:00") for i, k, h in r], "id long, event_type string, t string").selectExpr("id", "event_type", "cast(t as timestamp) as ts")
+    folder = scratch.folder(spark, "hours")
+    run = lambda: {(r.hour.hour, r.event_type): r.n for r in events.updated(events.hourly(events.source(spark, f"{tmp_path}/t", "e")), folder, ["hour", "event_type"]).collect()}
+    rows((1, "a", 1), (2, "a", 1), (3, "b", 2)).write.parquet(source)
+    assert run() == {(1, "a"): 2, (2, "b"): 1}
+    rows((4, "b", 2), (5, "a", 7)).write.mode("append").parquet(source)
+    assert run() == {(1, "a"): 2, (2, "b"): 2, (7, "a"): 1}
+    rows((6, "a", 1), (7, "a", 7)).write.mode("append").parquet(source)  # one comes too late
+    assert run() == {(1, "a"): 2, (2, "b"): 2, (7, "a"): 2}
+
+
+def test_inference_goes_on_by_key(spark):
+    def client():
+        def ask(prompts):
+            if "bad" in prompts:
+                raise OSError("down")
+            return [ValueError("x") if p == "odd" else p.upper() for p in prompts]
+
+        return ask
+
+    df = spark.createDataFrame([(1, "a"), (2, "odd"), (3, "bad"), (4, None), (5, "e")], "id long, prompt string").coalesce(1)
+    done = spark.createDataFrame([(5,)], "id long")
+    got = {r.id: (r.output, r.error) for r in inference.generate(df, client, done=done, at_once=1).collect()}
+    assert got == {1: ("A", None), 2: (None, "ValueError: x"), 3: (None, "OSError: down"), 4: (None, "ValueError: no prompt")}
