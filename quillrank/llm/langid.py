@@ -1,18 +1,22 @@
 """Language of words and documents by a linear-chain conditional random field.
 
-A chain is the words of a line, CHAIN at most. A word's features are its byte n-grams, with the spaces around it, so that those
+A chain is the words of a line. A word's features are its byte n-grams, with the spaces around it, so that those
 at its ends are its affixes, and its entry in a lexicon of the words that were frequent in training. Labels are languages; the
 weights of features and of transitions between labels are learned together, by the gradient of the chains' likelihood, of
 which training chains switch language in the middle. Forward-backward gives each word the probabilities of its labels: runs
 of words of one label are what code-switched text is cut to, and a document has the language of the largest sum.
 
-Training takes a bounded sample: up to SAMPLE documents of each language, at random by a hash of doc_id, LIMIT at most. It is the
-only thing that the driver gathers. The model, some MODEL_BYTES, goes to the executors with the function that applies it; all
-texts are labelled whole, row by row, with no shuffle.
+Long chains are stepped through in links of CHAIN words side by side: a link's words make a matrix that carries any message over it, so
+that the messages at the cuts come first, and with them the marginals are those of the whole line, as if it had not been cut.
+
+Training takes a bounded sample: up to SAMPLE documents of each language, at random by a hash of doc_id, LIMIT at most. They are drawn
+by their ids and languages alone; only their texts are fetched, and are the only thing that the driver gathers. The model, some
+MODEL_BYTES, goes to the executors with the function that applies it; all texts are labelled whole, row by row, with no shuffle.
 
 Defined results: a null text, or one without a letter, is "und" with score 0 and no runs; so are all if nothing was learned. Equal
 texts have equal results wherever they stand; an empty table gives an empty result. Ties between labels go to the first by name.
-Columns that clash with the operator's are replaced by them.
+Columns that clash with the operator's are replaced by them. A text of any length is labelled whole. A doc_id that stands in many rows has as
+many places in the sample's draw.
 """
 
 from __future__ import annotations
@@ -23,7 +27,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import read, tidy
@@ -31,7 +35,7 @@ from .windows import PolyHash, mixed
 
 #: Documents to learn from: for each language, and in all.
 SAMPLE, LIMIT = 250, 4000
-#: Words of a chain; n-grams; bits of the table of their weights; words in the lexicon for each language.
+#: Words of a chain's links; n-grams; bits of the table of their weights; words in the lexicon for each language.
 CHAIN, NGRAMS, TABLE_BITS, LEXICON = 128, (2, 3, 4), 17, 2000
 EPOCHS, CHAINS, RATE, SHRINK = 4, 256, 0.3, 1e-6
 #: Training chains: words, and the chance that one goes over to another language midway.
@@ -105,36 +109,79 @@ class Model:
         return at, self.lexicon[at] == w.key
 
 
-def forward_backward(scores: np.ndarray, first: np.ndarray, size: np.ndarray, moves: np.ndarray, starts: np.ndarray, pairs: bool = False) -> tuple[np.ndarray, np.ndarray | None, np.ndarray | None]:
+def forward_backward(
+    scores: np.ndarray, first: np.ndarray, size: np.ndarray, moves: np.ndarray, starts: np.ndarray, pairs: bool = False, into: np.ndarray | None = None, onward: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray | None, np.ndarray | None]:
     """Marginals (word, label) of chains of words that lie together, from first on and size long; and where pairs is true,
-    the expected transitions and starts. All chains are stepped through side by side, the longest first."""
+    the expected transitions and starts. All chains are stepped through side by side, the longest first. into and onward: for
+    each chain the weights of its first label, in place of starts, and of its last, in place of ones."""
     order = np.argsort(-size, kind="stable")
     first, size = first[order], size[order]
     e = np.exp(scores - scores.max(axis=1, keepdims=True)) if len(scores) else scores
-    m, s = np.exp(moves), np.exp(starts)
+    m = np.exp(moves)
+    s = np.broadcast_to(np.exp(starts), (len(first), len(starts))) if into is None else into[order]
     fore, back = np.empty_like(e), np.empty_like(e)
     live = [int(np.searchsorted(-size, -t, "left")) for t in range(int(size[0]) if len(size) else 0)]  # chains longer than t
     for t, k in enumerate(live):
         at = first[:k] + t
         a = (fore[at - 1] @ m if t else s) * e[at]
         fore[at] = a / a.sum(axis=1, keepdims=True)
+    back[first + size - 1] = 1 if onward is None else onward[order]
     counts = np.zeros_like(m) if pairs else None
-    for t in range(len(live) - 1, -1, -1):
-        at = first[: live[t]] + t
-        back[at] = 1
-        if t + 1 < len(live):
-            on = at[: live[t + 1]]
-            ahead = e[on + 1] * back[on + 1]
-            b = ahead @ m.T
-            if pairs:
-                both = fore[on][:, :, None] * m * ahead[:, None, :]
-                counts += (both / both.sum(axis=(1, 2), keepdims=True)).sum(axis=0)
-            back[on] = b / b.sum(axis=1, keepdims=True)
+    for t in range(len(live) - 2, -1, -1):
+        on = first[: live[t + 1]] + t
+        ahead = e[on + 1] * back[on + 1]
+        b = ahead @ m.T
+        if pairs:
+            both = fore[on][:, :, None] * m * ahead[:, None, :]
+            counts += (both / both.sum(axis=(1, 2), keepdims=True)).sum(axis=0)
+        back[on] = b / b.sum(axis=1, keepdims=True)
     out = fore * back
     out /= out.sum(axis=1, keepdims=True) if len(out) else 1
     return out, counts, out[first].sum(axis=0) if pairs else None
 
 
+def _carried(scores: np.ndarray, first: np.ndarray, size: np.ndarray, moves: np.ndarray) -> np.ndarray:
+    """For each link a matrix, up to a factor: from the weights of its first label to what they and its words give its last."""
+    order = np.argsort(-size, kind="stable")
+    first, size = first[order], size[order]
+    e, m, k = np.exp(scores - scores.max(axis=1, keepdims=True)), np.exp(moves), len(moves)
+    out = np.eye(k) * e[first][:, None, :]
+    for t in range(1, int(size[0]) if len(size) else 0):
+        n = int(np.searchsorted(-size, -t, "left"))
+        on = (out[:n] @ m) * e[first[:n] + t][:, None, :]
+        out[:n] = on / on.sum(axis=(1, 2), keepdims=True)
+    back = np.empty_like(out)
+    back[order] = out
+    return back
+
+
+def marginals(scores: np.ndarray, first: np.ndarray, size: np.ndarray, moves: np.ndarray, starts: np.ndarray, link: int = CHAIN) -> np.ndarray:
+    """forward_backward()'s marginals of chains of any length, stepped through in links of so many words."""
+    parts = -(-size // link)
+    if not len(size) or parts.max() == 1:
+        return forward_backward(scores, first, size, moves, starts)[0]
+    stop = np.cumsum(parts)
+    head = stop - parts
+    nth = np.arange(stop[-1]) - np.repeat(head, parts)
+    at = np.repeat(first, parts) + nth * link
+    length = np.minimum(link, np.repeat(first + size, parts) - at)
+    m = np.exp(moves)
+    into, onward = np.tile(np.exp(starts), (len(at), 1)), np.ones((len(at), len(moves)))
+    many = np.flatnonzero(np.repeat(parts, parts) > 1)
+    carry = np.zeros((len(at), len(moves), len(moves)))
+    carry[many] = _carried(scores, at[many], length[many], moves)
+    for t in range(1, int(parts.max())):
+        on = head[parts > t] + t
+        a = np.einsum("ni,nij->nj", into[on - 1], carry[on - 1]) @ m
+        into[on] = a / a.sum(axis=1, keepdims=True)
+    for t in range(int(parts.max()) - 2, -1, -1):
+        on = head[parts > t + 1] + t
+        b = np.einsum("nij,nj->ni", carry[on + 1], onward[on + 1]) @ m.T
+        onward[on] = b / b.sum(axis=1, keepdims=True)
+    return forward_backward(scores, at, length, moves, starts, into=into, onward=onward)[0]
+
+
 def train(texts: list[str], langs: list[str], seed: int = 1) -> Model:
     """The model of texts of known languages."""
     labels = sorted(set(langs))
@@ -214,12 +261,7 @@ class Labeller:
         w = Words(self.hasher, [texts[i] for i in real])
         new = np.flatnonzero(np.diff(w.line, prepend=-1))
         size = np.diff(new, append=len(w.line))
-        parts = -(-size // CHAIN)
-        nth = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
-        first = np.repeat(new, parts) + nth * CHAIN
-        length = np.minimum(CHAIN, np.repeat(new + size, parts) - first)
-        scores = self.model.scores(w)
-        marginal, _, _ = forward_backward(scores[w.word], first, length, self.model.moves, self.model.starts)
+        marginal = marginals(self.model.scores(w)[w.word], new, size, self.model.moves, self.model.starts)
         weigh = w.letters[w.word].astype(np.float64)
         count = np.bincount(w.text, weigh, len(real))
         weigh[(count == 0)[w.text]] = 1  # letters of other scripts only
@@ -248,10 +290,14 @@ def held_out(key: Column) -> Column:
 def fit(docs: DataFrame, sample: int = SAMPLE, limit: int = LIMIT) -> Model:
     """The model of a bounded sample of docs (doc_id, text, lang) that are not held out."""
     known = docs.where(~held_out(F.col("doc_id")) & F.col("text").isNotNull() & F.col("lang").isNotNull())
-    sizes = known.groupBy("lang").agg(F.count("*").alias("n")).withColumnRenamed("lang", "_l")
-    draw = F.pmod(F.xxhash64(F.coalesce("doc_id", F.lit(-1)), F.lit("langid")), F.lit(1 << 30)) / float(1 << 30)
-    rows = known.select("doc_id", "text", "lang", draw.alias("_u")).join(sizes, F.col("lang") == F.col("_l")).where(F.col("_u") * F.col("n") < sample)
-    got = rows.orderBy("_u", "doc_id", "text").select("text", "lang").limit(limit).collect()  # bounded by limit
+    slim = known.select("doc_id", F.col("lang").alias("_l"), F.xxhash64(F.coalesce("doc_id", F.lit(-1)), F.lit("langid")).alias("_u"))
+    # of each language the first in the order of the hash; Spark takes them in every task before they meet
+    nth = F.row_number().over(Window.partitionBy("_l").orderBy("_u", "doc_id"))
+    drawn = slim.withColumn("_n", nth).where(F.col("_n") <= sample).orderBy("_u", "doc_id", "_l").limit(limit)
+    drawn = drawn.select(F.col("doc_id").alias("_id"), "_l", "_u").distinct()
+    # limit rows at most are broadcast
+    rows = known.select("doc_id", "text", "lang").join(F.broadcast(drawn), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("lang") == F.col("_l")))
+    got = rows.orderBy("_u", "doc_id", "lang", "text").select("text", "lang").limit(limit).collect()  # bounded by limit
     return train([r["text"] for r in got], [r["lang"] for r in got])
 
 
