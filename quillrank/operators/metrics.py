@@ -105,9 +105,9 @@ Statistic = Callable[[Column], Column]
 
 def bootstrap(values: DataFrame, draws: DataFrame, value: str = "value", level: float = 0.95, statistic: Statistic = F.avg) -> DataFrame:
     """point (of values themselves), lower, upper and mean of the resampled statistics; values has idx, numbered from 0. Without
-    values all are 0. The problems, a number and a value each, are broadcast: draws are a thousand times as many."""
+    values all are 0."""
     v = F.col(value)
-    means = draws.join(F.broadcast(values), "idx").groupBy("iteration").agg(statistic(v).alias("m"))
+    means = draws.join(values, "idx").groupBy("iteration").agg(statistic(v).alias("m"))
     tail = (1 - level) / 2
     zero = lambda c: F.coalesce(c, F.lit(0.0))
     out = means.agg(zero(F.percentile("m", F.lit(tail))).alias("lower"), zero(F.percentile("m", F.lit(1 - tail))).alias("upper"), zero(F.avg("m")).alias("mean"))
