@@ -30,6 +30,11 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), WORD_GAP), "")
 
 
+@functools.lru_cache(maxsize=1)
+def _local_root() -> str:
+    return f"file://{tempfile.mkdtemp(prefix='quillrank-')}"
+
+
 def shared_dir(spark: SparkSession) -> str:
     """A fresh folder that driver and executors share: below spark.checkpoint.dir, or in tests a temporary one."""
     root = spark.conf.get("spark.checkpoint.dir", None)
@@ -38,8 +43,7 @@ def shared_dir(spark: SparkSession) -> str:
         if current.isDefined():
             root = current.get()
         elif spark.sparkContext.master.startswith("local[") or spark.sparkContext.master == "local":
-            root = f"file://{tempfile.mkdtemp(prefix='quillrank-')}"
-            spark.sparkContext.setCheckpointDir(root)
+            root = _local_root()
         else:
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     folder = f"{root.rstrip('/')}/quillrank-{uuid.uuid4().hex}"

@@ -253,7 +253,7 @@ def _shared_path(a: str, b: str) -> F.Column:
 
 def _differenced(pages: DataFrame) -> DataFrame:
     """Open pages, with the lines that their nearest page of the host has not."""
-    rows = stored(_ordered(pages))
+    rows = stored(_ordered(pages), shuffled=False)
     light = rows.select(F.col("rank").alias("r"), F.col("host").alias("h"), F.col("path").alias("p"))
     near = []
     for name, step in (("before", -1), ("after", 1)):
