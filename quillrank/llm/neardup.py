@@ -18,7 +18,7 @@ their links for certain. For the others a pair at the threshold shares no band w
 At scale: band rows are summed by bucket before they meet, and joins on a bucket or a leader can be split where it is hot. Full sets are
 made again, from the texts, for classes that share a bucket with another, and for no others. A group of more than BLOCK classes
 or BLOCK_BYTES of sets is cut into blocks, and a task gets two of them, so that its memory is bounded whatever the group's size; a group of
-n blocks costs n copies of its sets. A document alone may be larger than a block. Tables that are done with are deleted.
+n blocks costs n copies of its sets, but for the component that has most of it, which meets the rest alone. A document alone may be larger than a block. Tables that are done with are deleted.
 
 Defined results: a null or empty text, or one without words, has no shingles and is linked with nothing. A text of any length is
 one set; its words are hashed piece by piece. Rows that share a doc_id are one document; a null doc_id is a document of its own
@@ -130,11 +130,10 @@ def signatures(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
 
 
 def buckets(classes: DataFrame) -> DataFrame:
-    """bucket, cls and n for each class and each bucket that it is in."""
+    """bucket and cls for each class and each bucket that it is in."""
     band = lambda b: F.xxhash64(b, F.substring(F.col("sketch"), b * (2 * ROWS) + 1, F.lit(2 * ROWS)))
     keys = F.concat(F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), band), F.transform("firsts", lambda x: F.xxhash64(F.lit(-1), x)))
-    rows = classes.select("cls", F.col("n_shingles").alias("n"), F.explode(keys).alias("bucket"))
-    return rows
+    return classes.select("cls", F.explode(keys).alias("bucket"))
 
 
 def full_sets(docs: DataFrame, ids: DataFrame, shingle: int = SHINGLE) -> DataFrame:
@@ -275,26 +274,40 @@ def confirmed_pairs(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(one, "b").join(two, "a").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
-def tasks(groups: DataFrame) -> DataFrame:
-    """task, side, cls and component: where each class of a group (leader, cls, n, component) is to be. One of n blocks is in n
-    tasks."""
-    large = F.greatest(F.count("*") / BLOCK, F.sum(F.col("n") * 8) / BLOCK_BYTES)
-    sizes = groups.groupBy(F.col("leader").alias("_l")).agg(F.ceil(large).cast("int").alias("blocks"))
-    own = F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int")
-    rows = groups.join(sizes, F.col("leader") == F.col("_l")).withColumn("own", own)
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    task = F.xxhash64("leader", F.least("own", "other"), F.greatest("own", "other"))
-    return rows.select(task.alias("task"), (F.col("own") > F.col("other")).cast("int").alias("side"), "cls", "component")
-
-
-def led(rows: DataFrame) -> DataFrame:
-    """bucket, size, cls, n, leader and score (the leader's) of the classes of each bucket that has two or more; rows: bucket, cls, n."""
-    shared = rows.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
-    members = rows.join(shared, "bucket")
+def tasks(groups: DataFrame, folder: str) -> DataFrame:
+    """task, side, cls and component: where each class of a group (leader, cls, n, component) is to be.
+
+    folder: for a table of the groups' sizes. A component with half of a large group or more is its main one, in small blocks, and needn't be held against itself: each of its
+    blocks meets each block of the rest. The rest's n blocks meet two by two, so that each is in n tasks.
+    """
+    per = groups.groupBy("leader", "component").agg(F.count("*").alias("c"), F.sum(F.col("n") * 8).alias("b"))
+    total = per.groupBy(F.col("leader").alias("_l")).agg(F.sum("c").alias("_c"), F.sum("b").alias("_b"), F.max(F.struct("c", "b", "component")).alias("_m"))
+    split = (F.col("_c") > BLOCK) & (2 * F.col("_m.c") >= F.col("_c"))
+    count = lambda c, b, block: F.ceil(F.greatest(c / block, b / BLOCK_BYTES)).cast("int")
+    rest = count(F.col("_c") - F.when(split, F.col("_m.c")).otherwise(0), F.col("_b") - F.when(split, F.col("_m.b")).otherwise(0), BLOCK)
+    sizes = total.select("_l", F.when(split, F.col("_m.component")).alias("_main"), F.when(split, count(F.col("_m.c"), F.col("_m.b"), BLOCK // 4)).otherwise(0).alias("mains"), rest.alias("rests"))
+    sizes = stored(sizes, folder)  # a join with sums can't be split where a group is hot, one with a table can
+    rows = groups.join(sizes, F.col("leader") == F.col("_l")).withColumn("main", F.coalesce(F.col("component") == F.col("_main"), F.lit(False)))
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("cls"), F.when(F.col("main"), F.col("mains")).otherwise(F.col("rests"))).cast("int"))
+    own = F.col("own")
+    at = lambda kind, x, y, side: F.struct(F.xxhash64("leader", F.lit(kind), x, y).alias("task"), side.cast("int").alias("side"))
+    upto = lambda n, f: F.transform(F.filter(F.sequence(F.lit(0), F.greatest(F.col(n), F.lit(1)) - 1), lambda k: k < F.col(n)), f)
+    to_rest = upto("rests", lambda k: at(0, F.least(own, k), F.greatest(own, k), own > k))
+    to_main = upto("mains", lambda k: at(1, k, own, F.lit(0)))
+    where = F.when(F.col("main"), upto("rests", lambda k: at(1, own, k, F.lit(1)))).otherwise(F.concat(to_rest, to_main))
+    return rows.withColumn("w", F.explode(where)).select("w.task", "w.side", "cls", "component")
+
+
+def led(rows: DataFrame, folder: str) -> DataFrame:
+    """bucket, size, cls, leader and score (the leader's) of the classes of each bucket that has two or more; rows: bucket, cls. folder:
+    for tables of buckets, by which Spark can split the joins with a hot one."""
+    shared = stored(rows.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1"), f"{folder}-shared")
+    members = stored(rows.join(shared, "bucket"), f"{folder}-sized")
     scores = members.groupBy("cls").agg(F.sum("size").alias("own"))
     scored = members.join(scores, "cls")
     leaders = scored.groupBy("bucket").agg(F.max(F.struct("own", (-F.col("cls")).alias("c"))).alias("l"))
-    return members.join(leaders.select("bucket", (-F.col("l.c")).alias("leader"), F.col("l.own").alias("score")), "bucket")
+    leaders = stored(leaders.select("bucket", (-F.col("l.c")).alias("leader"), F.col("l.own").alias("score")), f"{folder}-leaders")
+    return members.join(leaders, "bucket")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
@@ -305,7 +318,9 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     full = signed.where("set_key is not null and doc_id is not null")
     classes = full.groupBy("set_key").agg(F.min("doc_id").alias("cls"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"), F.first("firsts").alias("firsts"))
     classes = stored(classes, f"{folder}/classes")
-    members = stored(led(buckets(classes)), f"{folder}/members")
+    members = stored(led(buckets(classes), f"{folder}/buckets"), f"{folder}/members")
+    dropped(spark, *(f"{folder}/buckets-{x}" for x in ("shared", "sized", "leaders")))
+    freed(spark)
     sets = stored(full_sets(docs, members.select("cls").distinct(), shingle), f"{folder}/sets")
     freed(spark)
     # each class with the best of its leaders
@@ -314,12 +329,13 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     near = components(links)
     # what is left: buckets of more than one component
     known = members.join(near, F.col("cls") == F.col("node"), "left").join(best, "cls", "left")
-    known = known.select("bucket", "size", "cls", "n", "leader", F.coalesce("component", "cls").alias("component"), ((F.col("leader") == F.col("cls")) | (F.col("leader") == F.col("best"))).alias("told"))
+    known = known.select("bucket", "size", "cls", "leader", F.coalesce("component", "cls").alias("component"), ((F.col("leader") == F.col("cls")) | (F.col("leader") == F.col("best"))).alias("told"))
     known = stored(known, f"{folder}/known")
     undone = known.groupBy(F.col("bucket").alias("_b")).agg(F.min("component").alias("low"), F.max("component").alias("high"), F.bool_and("told").alias("told"), F.max("size").alias("size"))
-    undone = undone.where("low < high and (size > 2 or not told)").select("_b")
-    groups = stored(known.join(undone, F.col("bucket") == F.col("_b"), "left_semi").select("leader", "cls", "n", "component").distinct(), f"{folder}/groups")
-    more = stored(confirmed(tasks(groups).join(sets, "cls")), f"{folder}/more", shuffled=False)
+    undone = stored(undone.where("low < high and (size > 2 or not told)").select("_b"), f"{folder}/undone")
+    groups = known.join(undone, F.col("bucket") == F.col("_b"), "left_semi").select("leader", "cls", "component").distinct()
+    groups = stored(groups.join(classes.select("cls", F.col("n_shingles").alias("n")), "cls"), f"{folder}/groups")
+    more = stored(confirmed(tasks(groups, f"{folder}/sizes").join(sets, "cls")), f"{folder}/more", shuffled=False)
     freed(spark)
     # these join components as a whole
     of = known.select(F.col("cls").alias("_n"), F.col("component").alias("_c")).distinct()
@@ -330,7 +346,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     found = of.join(merged, F.col("_c") == F.col("_m"), "left").select(F.col("_n").alias("node"), F.coalesce("_to", "_c").alias("component"))
     named = classes.select(F.col("set_key").alias("_k"), "cls").join(found, F.col("cls") == F.col("node"), "left").select("_k", F.coalesce("component", "cls").alias("_c"))
     named = stored(named, f"{folder}/named")
-    dropped(spark, *(f"{folder}/{x}" for x in ("classes", "members", "sets", "links", "known", "groups", "more")))
+    dropped(spark, *(f"{folder}/{x}" for x in ("classes", "members", "sets", "links", "known", "undone", "groups", "sizes", "more")))
     freed(spark)
     out = signed.select("doc_id", "n_shingles", "set_key").join(named, F.col("set_key") == F.col("_k"), "left")
     component = F.coalesce("_c", "doc_id")
