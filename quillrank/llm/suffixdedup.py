@@ -43,9 +43,10 @@ HOT, BLOCK = 1000, 16
 #: Bytes of segments in an index, about. Making one takes some 90 bytes for each.
 INDEX_BYTES = 1 << 20
 
-#: A run of windows with one anchor: the anchor's hash, the content's digest, the text (doc_id, checksum), the first start, the number
-#: of starts and how far after the first start the anchor is.
-SEGMENTS = "anchor long, content long, check long, doc long, crc long, at long, n int, off int"
+#: A run of windows with one anchor: the anchor's hash, the content's digest, the text (doc_id, checksum), and its place: the first
+#: start, the number of starts and how far after the first start the anchor is, in one number: (at << 16 | n) << 16 | off.
+SEGMENTS = "anchor long, content long, check long, doc long, crc long, place long"
+_FIELD = (1 << 16) - 1
 KIND = ["anchor", "content", "check"]
 _RANGES = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))
 
@@ -98,8 +99,8 @@ def segments(docs: DataFrame, length: int = LENGTH) -> DataFrame:
                 anchor, content, piece, first, n, off = pack_segments(begins, data, hasher, length)
                 row = of[piece]
                 cols = [pa.array(anchor.view(np.int64)), pa.array(content[:, 0]), pa.array(content[:, 1]), batch.column(0).take(pa.array(row)), pa.array(crcs[row])]
-                cols += [pa.array(within[piece] + first - begins[piece]), pa.array(n.astype(np.int32)), pa.array(off.astype(np.int32))]
-                yield pa.RecordBatch.from_arrays(cols, [*KIND, "doc", "crc", "at", "n", "off"])
+                cols += [pa.array((within[piece] + first - begins[piece] << 16 | n) << 16 | off)]
+                yield pa.RecordBatch.from_arrays(cols, [*KIND, "doc", "crc", "place"])
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, SEGMENTS)
 
@@ -118,20 +119,24 @@ def _digest(data: bytes) -> int:
     return int.from_bytes(hashlib.blake2b(data, digest_size=8).digest(), "little", signed=True)
 
 
+def _parted(place: int) -> tuple[int, int, int]:
+    return place >> 32, place >> 16 & _FIELD, place & _FIELD
+
+
 def _blocks(w: dict, data: bytes, length: int) -> Iterator[tuple[int, int, bytes]]:
     """Blocks of a segment, by the distance to the anchor: the group, the first start in the segment, and the bytes."""
-    anchor_at = w["at"] + w["off"]
-    begin = 0
-    while begin < w["n"]:
-        b = (w["off"] - begin) // BLOCK
-        stop = min(w["n"], w["off"] - b * BLOCK + 1)
+    at, n, off = _parted(w["place"])
+    anchor_at, begin = at + off, 0
+    while begin < n:
+        b = (off - begin) // BLOCK
+        stop = min(n, off - b * BLOCK + 1)
         core = data[anchor_at - b * BLOCK : anchor_at - (b + 1) * BLOCK + 1 + length]
-        yield _digest(b"%d,%d," % (w["anchor"], b) + core), begin, data[w["at"] + begin : w["at"] + stop + length - 1]
+        yield _digest(b"%d,%d," % (w["anchor"], b) + core), begin, data[at + begin : at + stop + length - 1]
         begin = stop
 
 
 def parts(docs: DataFrame, kinds: DataFrame, length: int = LENGTH) -> DataFrame:
-    """The bytes of the kinds (KIND, doc, crc, at, n, off, hot), each with the group in which it is judged."""
+    """The bytes of the kinds (KIND, doc, crc, place, hot), each with the group in which it is judged."""
 
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -150,7 +155,8 @@ def parts(docs: DataFrame, kinds: DataFrame, length: int = LENGTH) -> DataFrame:
                             rows.append({"part": part, "key": key, "key2": key2, "bytes": block, "begin": begin, "hot": True} | own)
                             size += len(block)
                     else:
-                        whole = data[w["at"] : w["at"] + w["n"] + length - 1]
+                        at, n, _ = _parted(w["place"])
+                        whole = data[at : at + n + length - 1]
                         rows.append({"part": w["anchor"], "key": w["content"], "key2": w["check"], "bytes": whole, "begin": 0, "hot": False} | own)
                         size += len(whole)
                     if size >= 2 << 20:
@@ -159,7 +165,7 @@ def parts(docs: DataFrame, kinds: DataFrame, length: int = LENGTH) -> DataFrame:
             if rows:
                 yield pa.RecordBatch.from_pylist(rows, _PART)
 
-    lists = kinds.groupBy("doc", "crc").agg(F.collect_list(F.struct(*KIND, "crc", "at", "n", "off", "hot")).alias("wanted"))
+    lists = kinds.groupBy("doc", "crc").agg(F.collect_list(F.struct(*KIND, "crc", "place", "hot")).alias("wanted"))
     found = docs.select(F.col("doc_id").cast("long"), "text", _crc()).join(lists, F.col("doc_id").eqNullSafe(F.col("doc")) & (F.col("_crc") == F.col("crc")))
     return found.select("text", "wanted").mapInArrow(run, PARTS)
 
@@ -202,11 +208,13 @@ def judged(rows: DataFrame, length: int = LENGTH) -> DataFrame:
     return dealt.mapInArrow(run, FOUND)
 
 
-def by_windows(rows: DataFrame, length: int = LENGTH) -> DataFrame:
-    """FOUND, as of judged(), for rows of groups of any size: by the digests of all windows."""
+def by_windows(rows: DataFrame, folder: str, length: int = LENGTH) -> DataFrame:
+    """FOUND, as of judged(), for rows of groups of any size: by the digests of all windows. folder: for a table of those that
+    occur again, by which Spark can split the join with a hot one."""
     each = rows.select(*CUT, "times", "bytes", F.explode(F.sequence(F.lit(0), F.length("bytes") - length)).alias("s"))
     each = each.select(*CUT, "times", "s", F.md5(F.substring(F.col("bytes"), F.col("s") + 1, F.lit(length))).alias("window"))
     again = each.groupBy(F.col("window").alias("_w")).agg(F.sum("times").alias("n")).where("n > 1").select("_w")
+    again = stored(again, folder)
     starts = each.join(again, F.col("window") == F.col("_w"), "left_semi")
     return starts.groupBy(*CUT).agg(F.collect_list(F.struct(F.col("s").alias("a"), (F.col("s") + 1).alias("b"))).alias("ranges"))
 
@@ -216,9 +224,10 @@ def marks(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     spark = docs.sparkSession
     folder = shared_dir(spark)
     rows = stored(segments(docs, length), f"{folder}/segments", shuffled=False)
-    kinds = rows.groupBy(*KIND).agg(F.count("*").alias("times"), F.min(F.struct("doc", "crc", "at", "n", "off")).alias("one"))
+    kinds = rows.groupBy(*KIND).agg(F.count("*").alias("times"), F.min(F.struct("doc", "crc", "place")).alias("one"))
     kinds = stored(kinds, f"{folder}/kinds")
     anchors = kinds.groupBy(F.col("anchor").alias("_a")).agg(F.count("*").alias("different")).where("different > 1")
+    anchors = stored(anchors, f"{folder}/anchors")
     todo = kinds.join(anchors, F.col("anchor") == F.col("_a")).select(*KIND, "one.*", (F.col("different") > HOT).alias("hot"))
     cut = stored(parts(docs, todo, length), f"{folder}/cut", shuffled=False)
     freed(spark)
@@ -227,14 +236,15 @@ def marks(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     large = same.groupBy(F.col("part").alias("_p")).agg(F.count("*").alias("blocks")).where(F.col("blocks") > HOT)
     small = same.join(large, F.col("part") == F.col("_p"), "left_anti").unionByName(cut.where("not hot").select(*CUT, "bytes", F.lit(1).cast("long").alias("times")))
     found = stored(judged(small, length), f"{folder}/found", shuffled=False)
-    wide = stored(by_windows(same.join(large, F.col("part") == F.col("_p"), "left_semi"), length), f"{folder}/wide")
+    wide = stored(by_windows(same.join(large, F.col("part") == F.col("_p"), "left_semi"), f"{folder}/again", length), f"{folder}/wide")
     freed(spark)
     shift = F.transform("ranges", lambda r: F.struct((r["a"] + F.col("begin")).alias("a"), (r["b"] + F.col("begin")).alias("b")))
     by_index = cut.drop("bytes").join(found.unionByName(wide), CUT).select(*KIND, shift.alias("ranges")).groupBy(*KIND).agg(F.flatten(F.collect_list("ranges")).alias("ranges"))
-    again = kinds.where("times > 1").select(*KIND, F.array(F.struct(F.lit(0).alias("a"), F.col("one.n").alias("b"))).alias("ranges"))
+    count = F.shiftright("one.place", 16).bitwiseAND(F.lit(_FIELD).cast("long")).cast("int")
+    again = kinds.where("times > 1").select(*KIND, F.array(F.struct(F.lit(0).alias("a"), count.alias("b"))).alias("ranges"))
     once = by_index.join(again.select(*KIND), KIND, "left_anti")
-    out = stored(rows.join(again.unionByName(once), KIND).groupBy("doc", "crc").agg(F.collect_set(F.struct("crc", "at", "ranges")).alias("wanted")), f"{folder}/marks")
-    dropped(spark, *(f"{folder}/{x}" for x in ("segments", "kinds", "cut", "same", "found", "wide")))
+    out = stored(rows.join(again.unionByName(once), KIND).groupBy("doc", "crc").agg(F.collect_set(F.struct("crc", F.shiftright("place", 32).alias("at"), "ranges")).alias("wanted")), f"{folder}/marks")
+    dropped(spark, *(f"{folder}/{x}" for x in ("segments", "kinds", "anchors", "cut", "same", "found", "again", "wide")))
     freed(spark)
     return out
 
@@ -258,8 +268,8 @@ NEW = "n_bytes long, n_removed long, spans array<struct<start:long,end:long>>, k
 def without_repeats(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), as_text: bool = False, length: int = LENGTH) -> DataFrame:
     """The columns keep of docs (doc_id, text and others), with NEW: what was removed, in bytes, and the bytes that stay; as_text:
     as a string, without characters of which only some bytes stay."""
-    if length <= GRAM:
-        raise ValueError(f"length must be over {GRAM} bytes")
+    if not GRAM < length <= _FIELD:
+        raise ValueError(f"length must be over {GRAM} bytes, and {_FIELD} at most")
     own = [c for c in keep if c not in {n for n, _ in _NEW}]
     found = marks(docs, length)
     both = docs.select(*[F.col(f"`{c}`") for c in own], F.col("text").alias("_text"), F.col("doc_id").cast("long").alias("_id"), _crc())
