@@ -13,12 +13,13 @@ gives back every text.
 
 A row depends on nothing but its own text and key; nothing is shuffled, and a lost task is simply run again.
 
-Defined results: a null text has null ids, an empty one none; rows of equal text and key are cut alike; an empty table gives an
-empty result. Columns that clash with the operator's are replaced by them.
+Defined results: a null text has null ids, an empty one none; a null key counts as 0; rows of equal text and key are cut alike; a text
+or word of any length is encoded whole; an empty table gives an empty result. Columns that clash with the operator's are replaced by them.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,7 +33,7 @@ from .windows import PolyHash, mixed
 MODEL = "piece_bpe_32k.model"
 ALPHA, SEED = 1.0, 1
 #: Bytes of text that are encoded at once, about.
-PACK_BYTES = 2 << 20
+PACK_BYTES = 1 << 19
 #: The longest piece has no more bytes.
 LONGEST = 64
 _STEP, _WORD = 0x9E3779B97F4A7C15, np.uint64(0xC2B2AE3D27D4EB4F)
@@ -42,10 +43,10 @@ _TINY, _UP = 1e-150, 1e150
 class Vocabulary:
     """Pieces as bytes, their probabilities, and a trie over them: step[node, byte] is the next node, 0 none; piece[node] an id or -1."""
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, proto: bytes) -> None:
         import sentencepiece
 
-        model = sentencepiece.SentencePieceProcessor(model_file=path)
+        model = sentencepiece.SentencePieceProcessor(model_proto=proto)
         n = model.get_piece_size()
         self.bytes: list[bytes] = [b""] * n
         self.byte_id = np.zeros(256, np.int32)
@@ -76,6 +77,18 @@ class Vocabulary:
         self.flat = np.frombuffer(b"".join(self.bytes), np.uint8)
 
 
+@functools.lru_cache(maxsize=1)
+def vocabulary(proto: bytes) -> Vocabulary:
+    """The vocabulary of a model, made once in a worker and kept for its later tasks."""
+    return Vocabulary(proto)
+
+
+def read_model(path: str) -> bytes:
+    """The driver reads the file, of a megabyte or less; it goes to the executors with the function, which need no such path."""
+    with open(path, "rb") as f:
+        return f.read()
+
+
 def _each(start: np.ndarray, size: np.ndarray) -> np.ndarray:
     """start[0], start[0] + 1, ... for size[0] numbers, then those from start[1], and so on."""
     return np.repeat(start - np.cumsum(size) + size, size) + np.arange(size.sum())
@@ -172,8 +185,8 @@ class Lattices:
 
 
 class Encoder:
-    def __init__(self, path: str, alpha: float = ALPHA, seed: int = SEED) -> None:
-        self.voc, self.alpha, self.hasher = Vocabulary(path), alpha, PolyHash(6)
+    def __init__(self, proto: bytes, alpha: float = ALPHA, seed: int = SEED) -> None:
+        self.voc, self.alpha, self.hasher = vocabulary(proto), alpha, PolyHash(6)
         self.seed = np.uint64(seed * int(_WORD) % 2**64)
 
     def encode(self, texts: list[bytes], keys: np.ndarray, exact: bool = False) -> tuple[np.ndarray, np.ndarray]:
@@ -235,12 +248,12 @@ def _packs(column: pa.Array) -> Iterator[tuple[int, list[str | None]]]:
 
 def encoded(docs: DataFrame, key: str = "doc_id", text: str = "text", keep: tuple[str, ...] = ("doc_id",), model: str | None = None, alpha: float = ALPHA, seed: int = SEED) -> DataFrame:
     """The columns keep of docs, with n_pieces and ids: the pieces of each text, which decoded() gives back."""
-    own, path = [c for c in keep if c not in ("n_pieces", "ids")], model or tokenizer_path(MODEL)
+    own, proto = [c for c in keep if c not in ("n_pieces", "ids")], read_model(model or tokenizer_path(MODEL))
     slim = docs.select(*[F.col(f"`{c}`") for c in own], F.coalesce(F.col(key).cast("long"), F.lit(0)).alias("_key"), F.col(f"`{text}`").alias("_text"))
 
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, k = Encoder(path, alpha, seed), len(own)
+        encoder, k = Encoder(proto, alpha, seed), len(own)
         for batch in batches:
             for begin, texts in _packs(batch.column(k + 1)):
                 data = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
@@ -256,12 +269,12 @@ def encoded(docs: DataFrame, key: str = "doc_id", text: str = "text", keep: tupl
 
 def decoded(rows: DataFrame, keep: tuple[str, ...] = ("doc_id",), model: str | None = None) -> DataFrame:
     """The columns keep of rows (ids and others), with decoded: the text."""
-    own, path = [c for c in keep if c not in ("decoded", "ids")], model or tokenizer_path(MODEL)
+    own, proto = [c for c in keep if c not in ("decoded", "ids")], read_model(model or tokenizer_path(MODEL))
     slim = rows.select(*[F.col(f"`{c}`") for c in own], "ids")
 
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, k = Encoder(path), len(own)
+        encoder, k = Encoder(proto), len(own)
         for batch in batches:
             lists = batch.column(k)
             n = lists.value_lengths().fill_null(0).to_numpy().astype(np.int64)
