@@ -6,6 +6,7 @@ import hashlib
 import json
 import os
 import random
+import re
 
 import pytest
 from pyspark.sql import Window
@@ -50,6 +51,29 @@ def test_bootstrap_of_all(spark, name, value):
     assert n > 40 and (got.lower, got.upper, got.mean) == pytest.approx((at(0.025), at(0.975), sum(means) / 1000), abs=2e-9)
 
 
+@pytest.mark.parametrize(("n", "iterations"), [(1, 3), (4096, 2), (9000, 130)])
+def test_means_of_packed_draws(spark, n, iterations):
+    values = spark.range(n).select(F.col("id").cast("int").alias("idx"), (F.pmod(F.col("id") * 7919, F.lit(101)) / 101).alias("value"))
+    rng, v = random.Random(42), [k * 7919 % 101 / 101 for k in range(n)]
+    want = {i: sum(v[rng.randrange(n)] for _ in range(n)) / n for i in range(iterations)}
+    got = {r.iteration: r.m for r in metrics.seeded_means(values.repartition(3), n, iterations).collect()}
+    assert got == pytest.approx(want, abs=1e-12)
+
+
+def test_packed_draws_of_nothing(spark):
+    none = spark.createDataFrame([], "idx int, value double")
+    assert metrics.interval(none, metrics.seeded_means(none, 0)).first().asDict() == {"lower": 0.0, "upper": 0.0, "mean": 0.0, "point": 0.0}
+
+
+@tables
+@pytest.mark.parametrize("name", ["a34_bootstrap", "a35_paired_bootstrap", None])
+def test_draws_are_not_broadcast(spark, name):
+    values = spark.range(300).select(F.col("id").cast("int").alias("idx"), (F.col("id") / 300).alias("value"))
+    got = catalog.QUERIES[name](spark, SF) if name else metrics.bootstrap(values, metrics.bootstrap_draws(spark, 300))
+    joins = [x for x in got._jdf.queryExecution().optimizedPlan().toString().split("\n") if re.search(r"Join Inner, \(idx#", x)]
+    assert len(joins) == (name is None) and all("strategy=merge" in x for x in joins)
+
+
 @tables
 def test_bootstrap_without_problems(spark):
     none = spark.createDataFrame([], "idx int, value double")
